@@ -2,8 +2,9 @@
 
 A window or join on a key sends all rows of one key to one task. When a key
 holds more than ``HOT_ROWS`` rows, its rows are cut into parts of consecutive
-order values, and the key's rows of the other side are repeated per part. All
-other keys keep the single part ``COLD`` and cost nothing extra.
+order values, and the key's rows of the other side are repeated per part; all
+other keys keep the single part ``COLD``. Data is looked at first: where no key
+is hot, as is usual, plans are built without parts.
 
 Hot keys can be broadcast: n rows have at most ``n / HOT_ROWS`` of them, which
 is a million short rows for 10^12 rows.
@@ -13,18 +14,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from brookmart.session import work_dir
+
 HOT_ROWS = 1_000_000
 COLD = -1
 
 
-def hot_keys(rows: DataFrame, key: str, order: str, more_than: int = HOT_ROWS) -> DataFrame:
-    """Keys with too many rows: ``(key, _parts, _lo, _hi)``, by one partial aggregate."""
-    return (
+def hot_keys(rows: DataFrame, key: str, order: str,
+             more_than: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with too many rows, ``(key, _parts, _lo, _hi)``, or None if there are none.
+
+    Runs one aggregate over the two columns now. What it finds is written to the
+    work folder, so that it is counted once and Spark knows its size.
+    """
+    found = (
         rows.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
         .where(F.col("_n") > more_than)
         .select(key, F.ceil(F.col("_n") / more_than).cast("int").alias("_parts"), "_lo", "_hi")
     )
+    if found.isEmpty():
+        return None
+    path = work_dir(rows.sparkSession, "hot")
+    found.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
 
 def _part(order: str) -> Column:

@@ -22,7 +22,7 @@ DETAIL_COLUMNS = {
     "sku_price": "order_price", "sku_num": "sku_num", "sku_name": "sku_name",
     "spu_id": "spu_id", "tm_id": "tm_id", "category3_id": "category3_id",
     "spu_name": "spu_name", "tm_name": "tm_name", "category3_name": "category3_name",
-    "detail_amount": "detail_amount",
+    "detail_amount": "detail_amount", "_part": "_part",
 }
 
 
@@ -46,12 +46,13 @@ def order_wide(orders: DataFrame, details: DataFrame, hot: DataFrame | None = No
     Both sides are shuffled once, on the order id. ``hot`` (see ``hot_keys``)
     names orders with so many lines that one task must not get them all; their
     lines are spread by ``_part``, which ``split_payment`` uses too, so that it
-    needs no further shuffle.
+    needs no further shuffle. Lines that have a ``_part`` already keep it.
     """
     left, right, on = order_columns(orders), detail_columns(details), ["order_id"]
     if hot is not None:
         left = per_part(left, "order_id", hot)
-        right = with_part(right, "order_id", "order_detail_id", hot)
+        if "_part" not in right.columns:
+            right = with_part(right, "order_id", "order_detail_id", hot)
         on = ["order_id", "_part"]
     return left.join(right, on, "inner")
 

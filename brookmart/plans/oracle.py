@@ -12,7 +12,7 @@ DAY = f"DATE '{shop.DAY}'"
 
 LOGS = """logs AS (
   SELECT event_id AS "offset", 'mid_' || user_id AS mid, CAST(user_id AS VARCHAR) AS uid,
-         epoch_ms(ts) AS ts, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hr,
+         epoch_us(ts) // 1000 AS ts, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hr,
          event_type IN ('view', 'click') AS is_start
   FROM events)"""
 
@@ -208,7 +208,7 @@ ORACLE: dict[str, str] = {
     "batch_sample": "SELECT event_id FROM events ORDER BY event_id LIMIT 1000",
     "batch_count": "SELECT count(*) AS n FROM orders",
     # streams
-    "stream_scan": "SELECT event_id, epoch_ms(ts) AS ts, user_id FROM events",
+    "stream_scan": "SELECT event_id, epoch_us(ts) // 1000 AS ts, user_id FROM events",
     "stream_resume": "SELECT event_id FROM events",
     "stream_dau": f'WITH {SEEN} SELECT dt, mid, "offset" AS event_id FROM seen',
     "sliding_window_count": """

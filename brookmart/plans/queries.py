@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from brookmart.functions.clock import with_log_time, with_order_time
 from brookmart.functions.jsonrows import field, parse_typed
 from brookmart.functions.money import cents
-from brookmart.operators import devices, orderwide, reports, routing
+from brookmart.operators import devices, reports, routing
 from brookmart.operators.firstorder import mark_first_orders, user_status
 from brookmart.operators.lookups import with_province, with_sku, with_user
 from brookmart.plans import warehouse
@@ -172,7 +172,8 @@ def join_user(spark, folder):
 
 @query
 def join_sku(spark, folder):
-    rows = with_sku(shop.order_details(spark, folder), shop.skus(spark, folder))
+    lines = shop.order_details(spark, folder, shop.large_orders(spark, folder))
+    rows = with_sku(lines, shop.skus(spark, folder))
     return rows.select(F.col("id").alias("detail_id"), "sku_id", "tm_id", "tm_name",
                        "category3_name", "spu_name")
 
@@ -191,8 +192,7 @@ def user_status_update(spark, folder):
 
 @query
 def order_wide(spark, folder):
-    wide = orderwide.order_wide(warehouse.orders(spark, folder), warehouse.details(spark, folder),
-                                shop.hot_orders(spark, folder))
+    wide = warehouse.joined(spark, folder, shop.large_orders(spark, folder))
     return wide.select("order_id", F.col("order_detail_id").alias("detail_id"), "dt", "user_id",
                        "sku_id", cents(F.col("detail_amount")).alias("amount_cents"), "tm_name",
                        "province_name", "user_age_group")
@@ -316,10 +316,11 @@ def sink_upsert(spark, folder):
 def sink_append(spark, folder):
     """Wide rows in two batches, read back per day."""
     wide = warehouse.paid_lines(spark, folder).select(
-        "dt", "order_id", "order_detail_id", "order_status", "final_cents")
+        F.substring("dt", 1, 7).alias("month"), "dt", "order_id", "order_detail_id",
+        "order_status", "final_cents")
     path = work_dir(spark, "wide")
-    ledger.write_batch(wide.where("order_status = 'F'"), path, 0, by=("dt",))
-    ledger.write_batch(wide.where("order_status <> 'F'"), path, 1, by=("dt",))
+    ledger.write_batch(wide.where("order_status = 'F'"), path, 0, by=("month",))
+    ledger.write_batch(wide.where("order_status <> 'F'"), path, 1, by=("month",))
     return ledger.read(spark, path, wide.schema).groupBy("dt").agg(
         F.count(F.lit(1)).alias("n"), (F.sum("final_cents").cast("double") / 100).alias("amount"))
 

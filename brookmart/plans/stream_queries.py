@@ -93,7 +93,7 @@ def sliding_window_count(spark, folder):
 def _pair_sources(spark: SparkSession, folder: str) -> tuple[Replay, Replay]:
     """Orders by creation time, and lines up to 89 seconds later."""
     orders = shop.orders(spark, folder).select(F.col("id").alias("order_id"), F.col("ts").alias("order_ts"))
-    lines = shop.order_details(spark, folder).select(F.col("id").alias("order_detail_id"), "order_id")
+    lines = shop.order_details(spark, folder, shop.large_orders(spark, folder)).select(F.col("id").alias("order_detail_id"), "order_id")
     delay = F.make_dt_interval(secs=F.pmod("order_detail_id", F.lit(90)))
     lines = lines.join(orders, "order_id").select(
         "order_detail_id", "order_id", (F.col("order_ts") + delay).alias("detail_ts"))
@@ -136,8 +136,8 @@ def stream_pair_dedup(spark, folder):
 def stream_split_payment(spark, folder):
     """Line n of every order arrives in minute n, from the fourth on together."""
     orders = shop.with_original_amount(shop.orders(spark, folder), spark, folder).drop("ts")
-    lines = shop.order_details(spark, folder)
-    wide = order_wide(orders, lines).select(
+    large = shop.large_orders(spark, folder)
+    wide = order_wide(orders, shop.order_details(spark, folder, large), large).select(
         "order_id", "order_detail_id", "detail_amount", "original_total_amount", "final_total_amount")
     number = F.call_function("div", "order_detail_id", F.lit(shop.DETAIL_STEP)).cast("int")
     chunk = F.least(number, F.lit(CHUNKS - 1))

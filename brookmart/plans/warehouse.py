@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brookmart.functions.clock import with_order_time
 from brookmart.operators import devices, lookups, routing
-from brookmart.operators.firstorder import mark_first_orders
 from brookmart.operators.hot import HOT_ROWS
 from brookmart.operators.orderwide import order_wide, split_payment
 from brookmart.sources import shop
@@ -23,36 +22,34 @@ def first_seen(spark: SparkSession, folder: str) -> DataFrame:
     return devices.first_seen(start_records(spark, folder))
 
 
-def orders(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
+def orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with province and user, without the first-order mark."""
-    rows = shop.with_province_id(shop.orders(spark, folder, day), spark, folder)
+    rows = shop.with_province_id(shop.orders(spark, folder), spark, folder)
     rows = lookups.with_province(with_order_time(rows), shop.provinces(spark, folder))
     return lookups.with_user(rows, shop.users(spark, folder))
 
 
-def details(spark: SparkSession, folder: str, more_than: int = HOT_ROWS) -> DataFrame:
+def details(spark: SparkSession, folder: str, large: DataFrame | None = None) -> DataFrame:
     """Order lines with brand, category and product line."""
-    return lookups.with_sku(shop.order_details(spark, folder, more_than),
-                            shop.skus(spark, folder), sku_name=F.col("sku_name"))
+    return lookups.with_sku(shop.order_details(spark, folder, large), shop.skus(spark, folder),
+                            sku_name=F.col("sku_name"))
 
 
-def wide(spark: SparkSession, folder: str, day: str | None = None,
-         more_than: int = HOT_ROWS) -> DataFrame:
-    """Order lines with everything known about order and product, and the
-    payment spread over them."""
-    left = shop.with_original_amount(orders(spark, folder, day), spark, folder)
-    hot = shop.hot_orders(spark, folder, more_than)
-    return split_payment(order_wide(left, details(spark, folder, more_than), hot), hot)
+def joined(spark: SparkSession, folder: str, large: DataFrame | None = None) -> DataFrame:
+    """Order lines with everything known about order and product."""
+    left = shop.with_original_amount(orders(spark, folder), spark, folder)
+    return order_wide(left, details(spark, folder, large), large)
+
+
+def wide(spark: SparkSession, folder: str, more_than: int = HOT_ROWS) -> DataFrame:
+    """The same with the payment spread over the lines."""
+    large = shop.large_orders(spark, folder, more_than)
+    return split_payment(joined(spark, folder, large), large)
 
 
 def paid_lines(spark: SparkSession, folder: str, day: str | None = None,
                more_than: int = HOT_ROWS) -> DataFrame:
-    """As ``wide``, with the few order and line columns and no lookups."""
+    """As ``wide``, without the lookups."""
+    large = shop.large_orders(spark, folder, more_than)
     left = shop.with_original_amount(shop.orders(spark, folder, day), spark, folder)
-    hot = shop.hot_orders(spark, folder, more_than)
-    lines = shop.order_details(spark, folder, more_than)
-    return split_payment(order_wide(left, lines, hot), hot)
-
-
-def marked_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return mark_first_orders(orders(spark, folder))
+    return split_payment(order_wide(left, shop.order_details(spark, folder, large), large), large)

@@ -84,41 +84,25 @@ def with_original_amount(rows: DataFrame, spark: SparkSession, folder: str) -> D
 LINE_ORDER = ["l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"]
 
 
-def large_orders(spark: SparkSession, folder: str, more_than: int = HOT_ROWS) -> DataFrame:
-    return hot_keys(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey", more_than)
-
-
-def _line_id(number: Column) -> Column:
-    return (number - 1) * F.lit(DETAIL_STEP) + F.col("l_orderkey")
-
-
-def order_details(spark: SparkSession, folder: str, more_than: int = HOT_ROWS) -> DataFrame:
-    """Order lines with an id. Lines of a large order are numbered part by part."""
-    large = large_orders(spark, folder, more_than)
-    rows = with_part(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey", large)
-    numbered = running_sums(rows, "l_orderkey", LINE_ORDER,
-                            {"_n": F.lit(1).cast("bigint")}, large)
+def large_orders(spark: SparkSession, folder: str, more_than: int = HOT_ROWS) -> DataFrame | None:
+    hot = hot_keys(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey", more_than)
+    return hot and hot.withColumnRenamed("l_orderkey", "order_id")
+
+
+def order_details(spark: SparkSession, folder: str, large: DataFrame | None = None) -> DataFrame:
+    """Order lines with an id. Lines of the ``large`` orders are numbered part by
+    part; parts follow the numbering, so they also serve to spread later sums."""
+    rows = table(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "order_id")
+    if large is not None:
+        rows = with_part(rows, "order_id", "l_partkey", large)
+    numbered = running_sums(rows, "order_id", LINE_ORDER, {"_n": F.lit(1).cast("bigint")}, large)
     return numbered.select(
-        _line_id(F.col("_n")).alias("id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("_n").alias("line"),
+        ((F.col("_n") - 1) * F.lit(DETAIL_STEP) + F.col("order_id")).alias("id"),
+        "order_id",
         F.col("l_partkey").alias("sku_id"),
         F.col("l_quantity").cast("bigint").alias("sku_num"),
         F.col("l_extendedprice").cast(MONEY).alias("detail_amount"),
-    )
-
-
-def hot_orders(spark: SparkSession, folder: str, more_than: int = HOT_ROWS) -> DataFrame:
-    """Large orders cut by line id, for ``order_wide`` and ``split_payment``. Ids
-    follow from the number of lines, so the lines need not be numbered first."""
-    n = (
-        table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("order_id"))
-        .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > more_than)
-    )
-    return n.select(
-        "order_id", F.ceil(F.col("_n") / more_than).cast("int").alias("_parts"),
-        F.col("order_id").alias("_lo"),
-        ((F.col("_n") - 1) * F.lit(DETAIL_STEP) + F.col("order_id")).alias("_hi"),
+        *([] if large is None else ["_part"]),
     )
 
 
