@@ -8,14 +8,21 @@ from brookmart.session import work_dir
 from brookmart.sources.streams import file_stream
 
 CHUNKS = 4
+Span = tuple[int, int]
 
 
-def by_time(rows: DataFrame, at: Column, chunks: int = CHUNKS) -> DataFrame:
-    """Add ``_chunk``: equal spans of whole seconds between the first and last time."""
+def span(rows: DataFrame, at: Column) -> Span:
+    """First and last time in whole seconds."""
     seconds = F.unix_seconds(at)
-    lo, hi = rows.agg(F.min(seconds), F.max(seconds)).first()
-    share = F.call_function("div", (seconds - F.lit(lo)) * chunks, F.lit(hi - lo + 1))
-    return rows.withColumn("_chunk", share.cast("int"))
+    return tuple(rows.agg(F.min(seconds), F.max(seconds)).first())
+
+
+def by_time(rows: DataFrame, at: Column, within: Span, chunks: int = CHUNKS) -> DataFrame:
+    """Add ``_chunk``, one of ``chunks`` equal spans of time; what comes after the
+    last time goes to the last chunk."""
+    lo, hi = within
+    share = F.call_function("div", (F.unix_seconds(at) - F.lit(lo)) * chunks, F.lit(hi - lo + 1))
+    return rows.withColumn("_chunk", F.least(share.cast("int"), F.lit(chunks - 1)))
 
 
 class Replay:

@@ -17,7 +17,7 @@ from brookmart.operators.lookups import with_province
 from brookmart.operators.orderwide import order_wide
 from brookmart.plans import warehouse
 from brookmart.plans.queries import query
-from brookmart.plans.replay import CHUNKS, Replay, by_time
+from brookmart.plans.replay import CHUNKS, Replay, Span, by_time, span
 from brookmart.session import work_dir
 from brookmart.sinks import ledger
 from brookmart.sources import shop
@@ -36,9 +36,17 @@ def _replay(spark: SparkSession, source: Replay, handler: Handler,
 
 # -- scans -----------------------------------------------------------------
 
+def _event_span(spark: SparkSession, folder: str) -> Span:
+    return span(shop.events(spark, folder), F.col("ts"))
+
+
+def _order_span(spark: SparkSession, folder: str) -> Span:
+    return span(shop.orders(spark, folder), F.col("ts"))
+
+
 def _events(spark: SparkSession, folder: str) -> Replay:
     rows = shop.events(spark, folder).select("event_id", "ts", "user_id")
-    return Replay(spark, by_time(rows, F.col("ts")), "events")
+    return Replay(spark, by_time(rows, F.col("ts"), _event_span(spark, folder)), "events")
 
 
 @query
@@ -67,7 +75,7 @@ def stream_dau(spark, folder):
     logs = routing.route_logs(shop.log_lines(spark, folder))
     starts = logs.where(F.col("topic") == routing.START_TOPIC).drop("topic")
     at = F.timestamp_millis(F.get_json_object("value", "$.ts").cast("bigint"))
-    source = Replay(spark, by_time(starts, at), "logs")
+    source = Replay(spark, by_time(starts, at, _event_span(spark, folder)), "logs")
     out = work_dir(spark, "dau")
     shape = jobs.first_seen_stream
     _replay(spark, source, jobs.append_to(out, by=("dt",)), shape, "update")
@@ -97,8 +105,9 @@ def _pair_sources(spark: SparkSession, folder: str) -> tuple[Replay, Replay]:
     delay = F.make_dt_interval(secs=F.pmod("order_detail_id", F.lit(90)))
     lines = lines.join(orders, "order_id").select(
         "order_detail_id", "order_id", (F.col("order_ts") + delay).alias("detail_ts"))
-    return (Replay(spark, by_time(orders, F.col("order_ts")), "orders"),
-            Replay(spark, by_time(lines, F.col("detail_ts")), "lines"))
+    within = _order_span(spark, folder)
+    return (Replay(spark, by_time(orders, F.col("order_ts"), within), "orders"),
+            Replay(spark, by_time(lines, F.col("detail_ts"), within), "lines"))
 
 
 def _pairs(spark: SparkSession, folder: str, times: int,
@@ -152,7 +161,7 @@ def stream_split_payment(spark, folder):
 
 def _order_replay(spark: SparkSession, folder: str) -> Replay:
     rows = shop.with_province_id(shop.orders(spark, folder), spark, folder)
-    return Replay(spark, by_time(rows, F.col("ts")), "orders")
+    return Replay(spark, by_time(rows, F.col("ts"), _order_span(spark, folder)), "orders")
 
 
 @query
@@ -190,7 +199,7 @@ def sink_exactly_once(spark, folder):
     """Brand sums per batch; the third batch fails after its write and runs again."""
     wide = warehouse.wide(spark, folder).select(
         F.to_timestamp("create_time").alias("ts"), "tm_id", "tm_name", "final_detail_amount")
-    source = Replay(spark, by_time(wide, F.col("ts")), "brands")
+    source = Replay(spark, by_time(wide, F.col("ts"), _order_span(spark, folder)), "brands")
     out = work_dir(spark, "stats")
     store = jobs.brand_sum_handler(out)
     _replay(spark, source, store)

@@ -31,7 +31,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def details(spark: SparkSession, folder: str, large: DataFrame | None = None) -> DataFrame:
     """Order lines with brand, category and product line."""
-    return lookups.with_sku(shop.order_details(spark, folder, large), shop.skus(spark, folder),
+    return lookups.with_sku(shop.order_details(spark, folder, large), shop.stored_skus(spark, folder),
                             sku_name=F.col("sku_name"))
 
 

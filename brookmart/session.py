@@ -16,8 +16,13 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a hot join key is split even when the split costs one more shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # stateful streams keep state in RocksDB, off the heap; its changelog is what
-    # is uploaded per batch, so a lost executor restores it from the checkpoint
+}
+
+# On a cluster stateful streams keep state in RocksDB, off the heap; its
+# changelog is what is uploaded per batch, and a lost executor's state is
+# restored from the checkpoint. Local runs have little state and keep Spark's
+# default, the heap.
+CLUSTER_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -25,8 +30,8 @@ SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply SETTINGS to a session somebody else built, and return it."""
-    for key, value in SETTINGS.items():
+    """Apply the settings to a session somebody else built, and return it."""
+    for key, value in (SETTINGS if _local(spark) else {**SETTINGS, **CLUSTER_SETTINGS}).items():
         spark.conf.set(key, value)
     # 200 is Spark's default, far too many for one machine; a cluster's own
     # setting, or any value chosen by the user, is left alone.

@@ -163,6 +163,18 @@ def skus(spark: SparkSession, folder: str) -> DataFrame:
                            categories(spark, folder), spus(spark, folder))
 
 
+def stored_skus(spark: SparkSession, folder: str) -> DataFrame:
+    """The SKU dimension as it is stored: with the names ``skus`` looks up. Read
+    without joins, its size is known when a query is planned."""
+    return table(spark, folder, "part").select(
+        F.col("p_partkey").cast("string").alias("id"),
+        text_id(F.col("p_name")).alias("spu_id"), F.col("p_name").alias("spu_name"),
+        F.col("p_name").alias("sku_name"),
+        text_id(F.col("p_brand")).alias("tm_id"), F.col("p_brand").alias("tm_name"),
+        text_id(F.col("p_type")).alias("category3_id"), F.col("p_type").alias("category3_name"),
+    )
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with an array of label objects. The array is a set of at most
     four different objects, so a document with very many labels stays small."""
