@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from brookmart.functions.jsonrows import has_object
 from brookmart.schemas import MAXWELL
@@ -33,20 +33,29 @@ def _envelope(changes: DataFrame) -> DataFrame:
     ``json_tuple`` parses a message once; filters pushed below ``from_json``
     would parse it once more per condition.
     """
-    return changes.select(F.json_tuple("value", *MAXWELL.names).alias(*MAXWELL.names))
+    return changes.select(*_others(changes), F.json_tuple("value", *MAXWELL.names).alias(*MAXWELL.names))
+
+
+def _others(changes: DataFrame) -> list[str]:
+    return [c for c in changes.columns if c != "value"]
+
+
+def _target() -> Column:
+    return F.concat(F.lit(TOPIC_PREFIX), F.col("table")).alias("topic")
 
 
 def route_canal(changes: DataFrame) -> DataFrame:
-    """One message per inserted row: ``(topic, value)``."""
+    """One message per inserted row: ``(topic, value)`` and the change's other columns."""
     return (
         _envelope(changes).where(F.col("type") == CANAL_INSERT)
-        .select(F.concat(F.lit(TOPIC_PREFIX), F.col("table")).alias("topic"),
-                F.explode(F.from_json("data", "array<string>")).alias("value"))
+        .select(_target(), F.explode(F.from_json("data", "array<string>")).alias("value"),
+                *_others(changes))
     )
 
 
 def route_maxwell(changes: DataFrame) -> DataFrame:
-    """Inserted fact rows and all changes of dimension rows: ``(topic, value)``.
+    """Inserted fact rows and all changes of dimension rows: ``(topic, value,
+    type)`` and the change's other columns.
 
     A deleted dimension row passes as well; the keyed sink may drop it.
     """
@@ -54,6 +63,5 @@ def route_maxwell(changes: DataFrame) -> DataFrame:
     dims = F.col("table").isin(*DIMENSION_TABLES)
     return (
         _envelope(changes).where(F.col("data").isNotNull() & (F.col("data") != "{}") & (facts | dims))
-        .select(F.concat(F.lit(TOPIC_PREFIX), F.col("table")).alias("topic"),
-                F.col("data").alias("value"), "type")
+        .select(_target(), F.col("data").alias("value"), "type", *_others(changes))
     )

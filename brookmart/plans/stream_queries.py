@@ -20,8 +20,9 @@ from brookmart.plans.queries import query
 from brookmart.plans.replay import CHUNKS, Replay, Span, by_time, span
 from brookmart.session import work_dir
 from brookmart.sinks import ledger
-from brookmart.sources import shop
+from brookmart.sources import changes, shop
 from brookmart.streaming import jobs
+from brookmart.streaming.layers import DIMENSIONS, Layers
 from brookmart.streaming.run import Handler, drain
 
 def _replay(spark: SparkSession, source: Replay, handler: Handler,
@@ -210,6 +211,39 @@ def sink_exactly_once(spark, folder):
         "amount", F.col("amount").cast("double"))
 
 
+@query
+def layers_brand_sum(spark, folder):
+    """All jobs from change messages to brand sums, in two spans of time."""
+    layers = build_layers(spark, folder)
+    sums = reports.brand_sums(layers.stats().select(
+        F.col("trademark_id").cast("bigint").alias("tm_id"),
+        F.col("trademark_name").alias("tm_name"), F.col("amount").alias("final_detail_amount")))
+    return sums.withColumn("amount", F.col("amount").cast("double"))
+
+
+def build_layers(spark: SparkSession, folder: str, chunks: int = 2) -> Layers:
+    """The tables of the running jobs, fed with the whole shop."""
+    layers = Layers(spark, work_dir(spark, "layers"), as_of=shop.AS_OF)
+    layers.create_tables()
+    dims, facts = changes.shop_rows(spark, folder)
+    # chunk 0 holds the dimensions, the facts follow by time
+    facts = by_time(facts, F.col("ts"), _order_span(spark, folder), chunks)
+    rows = dims.withColumn("_chunk", F.lit(0)).unionByName(
+        facts.select("value", (F.col("_chunk") + 1).alias("_chunk")))
+    rows = rows.withColumn("offset", F.lit(0).cast("bigint"))
+    source = Replay(spark, rows, "changes")
+    for i in range(chunks + 1):
+        source.feed(i)
+        layers.route_changes(source.stream(), drain=True).awaitTermination()
+        if i == 0:
+            for name in DIMENSIONS:
+                layers.load_dimension(name, drain=True).awaitTermination()
+            continue
+        for job in (layers.enrich_orders, layers.enrich_details, layers.join_wide, layers.sum_brands):
+            job(drain=True).awaitTermination()
+    return layers
+
+
 @query
 def fan_out(spark, folder):
     source = _order_replay(spark, folder)

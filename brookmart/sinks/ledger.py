@@ -40,6 +40,11 @@ def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(full).parquet(path).where(F.col(BATCH) >= 0)
 
 
+def read_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    """The rows of one batch; that batch may be empty."""
+    return spark.read.schema(schema).parquet(f"{path}/{BATCH}={batch_id}")
+
+
 def read_latest(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
                 version: Sequence[str] = (), drop_deletes: str | None = None) -> DataFrame:
     """The current row of each key: of the latest batch, and in it of the

@@ -27,6 +27,20 @@ def start(rows: DataFrame, handler: Handler, checkpoint: str, mode: str = "appen
     return writer.start()
 
 
+def console(rows: DataFrame, n: int = 1000) -> StreamingQuery:
+    """Print the first ``n`` rows of every batch."""
+    return (rows.writeStream.format("console").option("numRows", n).option("truncate", False)
+            .trigger(processingTime=INTERVAL).start())
+
+
+def offsets(query: StreamingQuery) -> list[dict]:
+    """Where each source of the query stood before and after its last batch."""
+    last = query.lastProgress
+    return [] if last is None else [
+        {k: s[k] for k in ("description", "startOffset", "endOffset", "numInputRows")}
+        for s in last["sources"]]
+
+
 def drain(rows: DataFrame, handler: Handler, checkpoint: str, mode: str = "append") -> StreamingQuery:
     query = start(rows, handler, checkpoint, mode, drain=True)
     query.awaitTermination()
