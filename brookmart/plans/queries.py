@@ -307,8 +307,8 @@ def sink_upsert(spark, folder):
         F.col("c_custkey").cast("string").alias("id"),
         F.concat("c_name", F.lit("*")).alias("name"), F.lit(2).alias("version"))
     path = work_dir(spark, "users")
-    ledger.write_batch(first, path, 0)
-    ledger.write_batch(second, path, 1)
+    ledger.upsert(first, path, 0, ["id"])
+    ledger.upsert(second, path, 1, ["id"])
     return ledger.read_latest(spark, path, first.schema, ["id"])
 
 

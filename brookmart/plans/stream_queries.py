@@ -154,7 +154,6 @@ def stream_split_payment(spark, folder):
     arrives = F.lit(shop.DAY).cast("timestamp") + F.make_dt_interval(mins=chunk)
     source = Replay(spark, wide.withColumns({"ts": arrives, "_chunk": chunk}), "wide")
     sums, out = work_dir(spark, "sums"), work_dir(spark, "paid")
-    ledger.create(spark, sums, jobs.SUMS)
     _replay(spark, source, jobs.split_payment_handler(sums, out))
     return spark.read.parquet(out).select(
         "order_id", F.col("order_detail_id").alias("detail_id"), "final_cents")
@@ -169,7 +168,6 @@ def _order_replay(spark: SparkSession, folder: str) -> Replay:
 def stream_first_order(spark, folder):
     source = _order_replay(spark, folder)
     status, out = work_dir(spark, "status"), work_dir(spark, "marked")
-    ledger.create(spark, status, jobs.STATUS)
     _replay(spark, source, jobs.first_order_handler(status, out))
     return spark.read.parquet(out).select("id", "if_first_order")
 
@@ -181,14 +179,14 @@ def stream_dim_refresh(spark, folder):
     provinces = shop.provinces(spark, folder)
     table, out = work_dir(spark, "provinces"), work_dir(spark, "refreshed")
     late = F.col("id").cast("int") > 12
-    ledger.write_batch(provinces.where(~late), table, 0)
+    ledger.upsert(provinces.where(~late), table, 0, ["id"])
 
     def handler(batch, batch_id):
         now = ledger.read_latest(batch.sparkSession, table, provinces.schema, ["id"])
         ledger.write_batch(with_province(batch, now), out, batch_id)
 
     checkpoint = _replay(spark, source, handler, chunks=range(2))
-    ledger.write_batch(provinces.where(late), table, 1)
+    ledger.upsert(provinces.where(late), table, 1, ["id"])
     _replay(spark, source, handler, chunks=range(2, CHUNKS), checkpoint=checkpoint)
     return spark.read.parquet(out).select("id", "province_name")
 
@@ -224,7 +222,6 @@ def layers_brand_sum(spark, folder):
 def build_layers(spark: SparkSession, folder: str, chunks: int = 2) -> Layers:
     """The tables of the running jobs, fed with the whole shop."""
     layers = Layers(spark, work_dir(spark, "layers"), as_of=shop.AS_OF)
-    layers.create_tables()
     dims, facts = changes.shop_rows(spark, folder)
     # chunk 0 holds the dimensions, the facts follow by time
     facts = by_time(facts, F.col("ts"), _order_span(spark, folder), chunks)
@@ -248,19 +245,17 @@ def build_layers(spark: SparkSession, folder: str, chunks: int = 2) -> Layers:
 def fan_out(spark, folder):
     source = _order_replay(spark, folder)
     status, orders, topic = (work_dir(spark, n) for n in ("status", "orders", "topic"))
-    ledger.create(spark, status, jobs.STATUS)
     write = jobs.fan_out_handler(status, orders, topic, "dwd_order_info")
 
     def handler(batch, batch_id):
-        known = ledger.read(batch.sparkSession, status, jobs.STATUS).where(
-            F.col(ledger.BATCH) < batch_id)
+        known = ledger.read_changes(batch.sparkSession, status, jobs.STATUS, batch_id)
         write(mark_first_orders(batch, known), batch_id)
 
     _replay(spark, source, handler)
     counts = [
         rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("sink"), "n")
         for name, rows in (
-            ("user_status", ledger.read(spark, status, jobs.STATUS)),
+            ("user_status", ledger.read_changes(spark, status, jobs.STATUS)),
             ("order_info", spark.read.parquet(orders)),
             ("dwd_order_info", spark.read.parquet(topic)),
         )

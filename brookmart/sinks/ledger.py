@@ -2,8 +2,11 @@
 
 Batch N lives in the folder ``batch_id=N`` and is written with overwrite, so a
 batch that runs again after a failure replaces its own rows and nothing else:
-with a replayable source the table holds every batch exactly once. Upserts are
-merged when read: the newest row of a key wins.
+with a replayable source the table holds every batch exactly once.
+
+Keyed tables are merged when read: the newest row of a key wins. Every
+``FULL_EVERY`` batches the merged rows are also written as ``full_id=N``, from
+which a reader starts, so that reading does not slow down as batches add up.
 """
 
 from __future__ import annotations
@@ -14,12 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from brookmart.operators.keyed import last_per_key
 
-BATCH = "batch_id"
-
-
-def create(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Make the table exist, with no rows."""
-    write_batch(spark.createDataFrame([], schema), path, -1)
+BATCH, FULL = "batch_id", "full_id"
+FULL_EVERY = 100
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int, by: Sequence[str] = ()) -> None:
@@ -28,35 +27,102 @@ def write_batch(rows: DataFrame, path: str, batch_id: int, by: Sequence[str] = (
     Rows are rebalanced on the partition columns, which keeps files few and
     splits a day too large for one file.
     """
+    _write(rows, f"{path}/{BATCH}={batch_id}", by)
+
+
+def _write(rows: DataFrame, folder: str, by: Sequence[str]) -> None:
     if by:
         rows = rows.hint("rebalance", *by)
-    rows.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{BATCH}={batch_id}")
+    rows.write.mode("overwrite").partitionBy(*by).parquet(folder)
+
+
+def upsert(rows: DataFrame, path: str, batch_id: int, keys: Sequence[str],
+           version: Sequence[str] = (), full_every: int = FULL_EVERY) -> None:
+    """Write one batch of a keyed table, and from time to time all of it."""
+    write_batch(rows, path, batch_id)
+    if batch_id % full_every == full_every - 1:
+        everything = read_latest(rows.sparkSession, path, rows.schema, keys, version, before=batch_id + 1)
+        _write(everything, f"{path}/{FULL}={batch_id}", ())
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All rows with the batch they came in. Filters on partition columns prune."""
-    full = T.StructType([f for f in schema.fields if f.name != BATCH]
-                        + [T.StructField(BATCH, T.LongType())])
-    return spark.read.schema(full).parquet(path).where(F.col(BATCH) >= 0)
+    """All rows of a table that is only appended to, with the batch they came in."""
+    if not _ids(spark, path, BATCH):
+        return spark.createDataFrame([], _with_batch(schema))
+    return spark.read.schema(_with_batch(schema)).parquet(path)
 
 
 def read_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
-    """The rows of one batch; that batch may be empty."""
+    """The rows of one batch, none if it was not written."""
+    if batch_id not in _ids(spark, path, BATCH):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{path}/{BATCH}={batch_id}")
 
 
+def read_changes(spark: SparkSession, path: str, schema: T.StructType,
+                 before: int | None = None) -> DataFrame:
+    """Rows of a keyed table from its last full writing on, with their batch.
+    With ``before``, as the table stood before that batch."""
+    def known(kind: str) -> list[int]:
+        return [i for i in _ids(spark, path, kind) if before is None or i < before]
+
+    full = max(known(FULL), default=-1)
+    newer = [f"{path}/{BATCH}={i}" for i in known(BATCH) if i > full]
+    rows = spark.createDataFrame([], _with_batch(schema))
+    if full >= 0:
+        rows = spark.read.schema(schema).parquet(f"{path}/{FULL}={full}").withColumn(
+            BATCH, F.lit(full).cast("bigint"))
+    if newer:
+        changed = spark.read.schema(_with_batch(schema)).option("basePath", path).parquet(*newer)
+        rows = rows.unionByName(changed) if full >= 0 else changed
+    return rows
+
+
 def read_latest(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
-                version: Sequence[str] = (), drop_deletes: str | None = None) -> DataFrame:
+                version: Sequence[str] = (), drop_deletes: str | None = None,
+                before: int | None = None) -> DataFrame:
     """The current row of each key: of the latest batch, and in it of the
     greatest ``version``. ``drop_deletes`` names a column that holds "delete"
     for a removed key; without it a deleted row stays, as an upsert."""
-    rows = last_per_key(read(spark, path, schema), keys, [BATCH, *version])
+    rows = last_per_key(read_changes(spark, path, schema, before), keys, [BATCH, *version])
     if drop_deletes:
         rows = rows.where(F.coalesce(F.col(drop_deletes) != "delete", F.lit(True)))
     return rows.drop(BATCH)
 
 
-def compact(spark: SparkSession, path: str, into: str, schema: T.StructType,
-            keys: Sequence[str], version: Sequence[str] = ()) -> None:
-    """Write the current rows to a new table as its batch 0; the old one stays."""
-    write_batch(read_latest(spark, path, schema, keys, version), into, 0)
+def expire(spark: SparkSession, path: str) -> int:
+    """Delete the folders of a keyed table that no reader starts from any more:
+    those up to the last full writing but one. Returns how many were deleted."""
+    fulls = _ids(spark, path, FULL)
+    if len(fulls) < 2:
+        return 0
+    old = [f"{BATCH}={i}" for i in _ids(spark, path, BATCH) if i <= fulls[-2]]
+    old += [f"{FULL}={i}" for i in fulls[:-2]]
+    fs, folder = _folder(spark, path)
+    for name in old:
+        fs.delete(folder.suffix(f"/{name}"), True)
+    return len(old)
+
+
+def _with_batch(schema: T.StructType) -> T.StructType:
+    return T.StructType([f for f in schema.fields if f.name != BATCH]
+                        + [T.StructField(BATCH, T.LongType())])
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def _ids(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """Ids of the finished folders of a table."""
+    fs, folder = _folder(spark, path)
+    if not fs.exists(folder):
+        return []
+    found = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith(f"{kind}=")]
+    ids = {int(p.getName().split("=")[1]): p for p in found}
+    # the newest folder may still be being written
+    newest = max(ids, default=None)
+    if newest is not None and not fs.exists(folder.suffix(f"/{kind}={newest}/_SUCCESS")):
+        del ids[newest]
+    return sorted(ids)

@@ -138,12 +138,11 @@ def test_first_orders_survive_a_crash(spark):
     """The flags of a batch that runs again come out the same."""
     feed = Feed(spark, "id bigint, user_id bigint, create_time string")
     status, out = work_dir(spark, "status"), work_dir(spark, "out")
-    ledger.create(spark, status, jobs.STATUS)
     run_with_crash(feed, lambda rows: rows, jobs.first_order_handler(status, out),
                    [[(1, 7, "t1"), (2, 7, "t1")], [(3, 8, "t2"), (4, 7, "t2")], [(5, 8, "t3"), (6, 9, "t3")]], 1)
     marks = {r.id: r.if_first_order for r in spark.read.parquet(out).collect()}
     assert marks == {1: "1", 2: "0", 3: "1", 4: "0", 5: "0", 6: "1"}
-    assert sorted(r.user_id for r in ledger.read(spark, status, jobs.STATUS).collect()) == ["7", "8", "9"]
+    assert sorted(r.user_id for r in ledger.read_changes(spark, status, jobs.STATUS).collect()) == ["7", "8", "9"]
 
 
 @pytest.mark.parametrize("hot_rows", [1_000_000, 2])
@@ -151,7 +150,6 @@ def test_payment_over_batches_survives_a_crash(spark, hot_rows):
     feed = Feed(spark, "order_id bigint, order_detail_id bigint, detail_amount double, "
                        "original_total_amount double, final_total_amount double, at string")
     sums, out = work_dir(spark, "sums"), work_dir(spark, "out")
-    ledger.create(spark, sums, jobs.SUMS)
 
     def line(order, n, minute):
         return order, order * 10 + n, 1.0, 3.0, 1.0, f"2024-01-01 12:{minute:02}:00"
@@ -179,21 +177,52 @@ def test_resume_and_offsets(spark):
 
 # -- ledger ----------------------------------------------------------------
 
-def test_ledger_upsert_delete_and_compaction(spark):
-    path, into = work_dir(spark, "t"), work_dir(spark, "t2")
-    rows = spark.createDataFrame([("a", 1, "insert"), ("b", 1, "insert")], "id string, v int, kind string")
-    ledger.create(spark, path, rows.schema)
-    assert ledger.read(spark, path, rows.schema).count() == 0
-    ledger.write_batch(rows, path, 0)
-    ledger.write_batch(spark.createDataFrame([("a", 2, "update"), ("a", 3, "update"), ("b", 0, "delete")], rows.schema), path, 1)
-
-    def now(where, **kw):
-        return sorted((r.id, r.v) for r in ledger.read_latest(spark, where, rows.schema, ["id"], ["v"], **kw).collect())
-
-    assert now(path) == [("a", 3), ("b", 0)]
-    assert now(path, drop_deletes="kind") == [("a", 3)]
-    ledger.compact(spark, path, into, rows.schema, ["id"], ["v"])
-    assert now(into) == [("a", 3), ("b", 0)]
+@pytest.mark.parametrize("every", [2, 3, 100])
+def test_ledger_upsert_delete_and_full_batches(spark, every):
+    """The merged table is the same whether and where it was written in full."""
+    path = work_dir(spark, "t")
+    schema = "id string, v int, kind string"
+    batches = [[("a", 1, "insert"), ("b", 1, "insert")], [("a", 2, "update"), ("a", 3, "update"), ("b", 0, "delete")],
+               [("c", 5, "insert")], [], [("a", 9, "update")]]
+    rows = spark.createDataFrame([], schema)
+    assert ledger.read_latest(spark, path, rows.schema, ["id"]).count() == 0
+
+    def now(**kw):
+        return sorted((r.id, r.v) for r in ledger.read_latest(spark, path, rows.schema, ["id"], ["v"], **kw).collect())
+
+    def write(i):
+        ledger.upsert(spark.createDataFrame(batches[i], schema), path, i, ["id"], ["v"], every)
+
+    for i in range(5):
+        write(i)
+        write(i)  # each batch runs twice
+    assert now() == [("a", 9), ("b", 0), ("c", 5)]
+    assert now(drop_deletes="kind") == [("a", 9), ("c", 5)]
+    for before, want in ((1, [("a", 1), ("b", 1)]), (2, [("a", 3), ("b", 0)]), (4, [("a", 3), ("b", 0), ("c", 5)])):
+        assert now(before=before) == want
+    newest = ledger.read_changes(spark, path, rows.schema)
+    assert newest.count() == {2: 4, 3: 4, 100: 7}[every]
+
+
+def test_ledger_expire_keeps_what_is_read(spark):
+    path = work_dir(spark, "t")
+    schema = "id string, v int"
+    for i in range(7):
+        ledger.upsert(spark.createDataFrame([(f"k{i % 3}", i)], schema), path, i, ["id"], full_every=2)
+    rows = spark.createDataFrame([], schema)
+    before = sorted(map(tuple, ledger.read_latest(spark, path, rows.schema, ["id"]).collect()))
+    assert before == [("k0", 6), ("k1", 4), ("k2", 5)]
+    # full at 1, 3 and 5: batches 0 to 3 and the first full writing go
+    assert ledger.expire(spark, path) == 5
+    assert sorted(map(tuple, ledger.read_latest(spark, path, rows.schema, ["id"]).collect())) == before
+
+
+def test_ledger_skips_a_batch_that_is_not_finished(spark):
+    path = work_dir(spark, "t")
+    rows = spark.createDataFrame([("a", 1)], "id string, v int")
+    ledger.upsert(rows, path, 0, ["id"])
+    rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/batch_id=1")
+    assert ledger.read_changes(spark, path, rows.schema).count() == 1
 
 
 def test_messages_leave_nulls_out(spark):
