@@ -208,12 +208,12 @@ def split_payment(spark, folder):
 
 @query
 def trademark_batch_sum(spark, folder):
-    return _double(reports.brand_sums(warehouse.wide(spark, folder)), "amount")
+    return _double(reports.brand_sums(warehouse.wide(spark, folder, people=False)), "amount")
 
 
 def _brand_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Brand sums of every day, as a daily batch would store them."""
-    wide = warehouse.wide(spark, folder)
+    wide = warehouse.wide(spark, folder, people=False)
     return wide.groupBy("dt", "tm_id", "tm_name").agg(
         F.sum("final_detail_amount").alias("amount")
     ).select(F.col("dt").cast("timestamp").alias("stat_time"),
@@ -237,17 +237,17 @@ def trademark_chart(spark, folder):
 
 @query
 def order_amount_total(spark, folder):
-    return _double(reports.amount_total(warehouse.wide(spark, folder)), "amount")
+    return _double(reports.amount_total(warehouse.paid_lines(spark, folder)), "amount")
 
 
 @query
 def order_amount_hour(spark, folder):
-    return _double(reports.amount_by_hour(warehouse.wide(spark, folder)), "amount")
+    return _double(reports.amount_by_hour(warehouse.paid_lines(spark, folder)), "amount")
 
 
 @query
 def hour_compare_amount(spark, folder):
-    hours = reports.amount_by_hour(warehouse.wide(spark, folder))
+    hours = reports.amount_by_hour(warehouse.paid_lines(spark, folder, shop.DAY, shop.DAY_BEFORE))
     return _double(reports.hour_compare(spark, hours, "amount", shop.DAY), "today", "yesterday")
 
 
@@ -261,27 +261,28 @@ def realtime_total(spark, folder):
 
 @query
 def buyer_age_share(spark, folder):
-    return reports.share(warehouse.wide(spark, folder), "user_age_group")
+    return reports.share(warehouse.joined(spark, folder, products=False), "user_age_group")
 
 
 @query
 def buyer_gender_share(spark, folder):
-    return reports.share(warehouse.wide(spark, folder), "user_gender")
+    return reports.share(warehouse.joined(spark, folder, products=False), "user_gender")
 
 
 @query
 def province_sales(spark, folder):
-    return _double(reports.province_sales(warehouse.wide(spark, folder)), "amount")
+    return _double(reports.province_sales(warehouse.wide(spark, folder, products=False)), "amount")
 
 
 @query
 def sku_sales(spark, folder):
-    return reports.sku_sales(warehouse.wide(spark, folder))
+    return reports.sku_sales(warehouse.joined(spark, folder, people=False))
 
 
 @query
 def sale_detail_page(spark, folder):
-    page = reports.detail_page(warehouse.wide(spark, folder), "ring", page=2, size=20)
+    rows = warehouse.joined(spark, folder, shop.large_orders(spark, folder))
+    page = reports.detail_page(rows, "ring", page=2, size=20)
     return page.select(F.col("order_detail_id").alias("detail_id"), "order_id", "sku_name", "dt",
                        "user_gender", "total")
 
@@ -290,7 +291,7 @@ def sale_detail_page(spark, folder):
 
 @query
 def sink_topic_json(spark, folder):
-    wide = warehouse.wide(spark, folder).select(
+    wide = warehouse.wide(spark, folder, people=False).select(
         "order_detail_id", "order_id", "dt", "sku_id", "sku_num", "tm_name", "final_detail_amount")
     path = work_dir(spark, "topic")
     ledger.write_batch(topics.to_messages(wide, "dws_order_wide"), path, 0)

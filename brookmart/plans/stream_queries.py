@@ -196,7 +196,7 @@ def stream_dim_refresh(spark, folder):
 @query
 def sink_exactly_once(spark, folder):
     """Brand sums per batch; the third batch fails after its write and runs again."""
-    wide = warehouse.wide(spark, folder).select(
+    wide = warehouse.wide(spark, folder, people=False).select(
         F.to_timestamp("create_time").alias("ts"), "tm_id", "tm_name", "final_detail_amount")
     source = Replay(spark, by_time(wide, F.col("ts"), _order_span(spark, folder)), "brands")
     out = work_dir(spark, "stats")

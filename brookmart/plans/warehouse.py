@@ -22,9 +22,9 @@ def first_seen(spark: SparkSession, folder: str) -> DataFrame:
     return devices.first_seen(start_records(spark, folder))
 
 
-def orders(spark: SparkSession, folder: str) -> DataFrame:
+def orders(spark: SparkSession, folder: str, days: tuple[str, ...] = ()) -> DataFrame:
     """Orders with province and user, without the first-order mark."""
-    rows = shop.with_province_id(shop.orders(spark, folder), spark, folder)
+    rows = shop.with_province_id(shop.orders(spark, folder, days), spark, folder)
     rows = lookups.with_province(with_order_time(rows), shop.provinces(spark, folder))
     return lookups.with_user(rows, shop.users(spark, folder))
 
@@ -35,21 +35,24 @@ def details(spark: SparkSession, folder: str, large: DataFrame | None = None) ->
                             sku_name=F.col("sku_name"))
 
 
-def joined(spark: SparkSession, folder: str, large: DataFrame | None = None) -> DataFrame:
-    """Order lines with everything known about order and product."""
-    left = shop.with_original_amount(orders(spark, folder), spark, folder)
-    return order_wide(left, details(spark, folder, large), large)
+def joined(spark: SparkSession, folder: str, large: DataFrame | None = None,
+           days: tuple[str, ...] = (), people: bool = True, products: bool = True) -> DataFrame:
+    """Order lines with their order. ``people`` looks up province and user,
+    ``products`` brand, category and product line; a report asks for what it
+    needs, as Spark cannot drop a left join on its own."""
+    left = orders(spark, folder, days) if people else with_order_time(shop.orders(spark, folder, days))
+    left = shop.with_original_amount(left, spark, folder)
+    lines = (details if products else shop.order_details)(spark, folder, large)
+    return order_wide(left, lines, large)
 
 
-def wide(spark: SparkSession, folder: str, more_than: int = HOT_ROWS) -> DataFrame:
+def wide(spark: SparkSession, folder: str, days: tuple[str, ...] = (), people: bool = True,
+         products: bool = True, more_than: int = HOT_ROWS) -> DataFrame:
     """The same with the payment spread over the lines."""
     large = shop.large_orders(spark, folder, more_than)
-    return split_payment(joined(spark, folder, large), large)
+    return split_payment(joined(spark, folder, large, days, people, products), large)
 
 
-def paid_lines(spark: SparkSession, folder: str, day: str | None = None,
-               more_than: int = HOT_ROWS) -> DataFrame:
-    """As ``wide``, without the lookups."""
-    large = shop.large_orders(spark, folder, more_than)
-    left = shop.with_original_amount(shop.orders(spark, folder, day), spark, folder)
-    return split_payment(order_wide(left, shop.order_details(spark, folder, large), large), large)
+def paid_lines(spark: SparkSession, folder: str, *days: str) -> DataFrame:
+    """As ``wide`` without any lookups, of all days or the given ones."""
+    return wide(spark, folder, days, people=False, products=False)

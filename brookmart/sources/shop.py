@@ -20,6 +20,7 @@ SHIFT_DAYS = 8217          # moves the order history so that it ends with the lo
 DETAIL_STEP = 1 << 40      # line number n of order o gets id (n - 1) * DETAIL_STEP + o
 AS_OF = "2024-01-01"       # day at which ages are taken
 DAY = "2024-01-15"         # a day inside the logs and the orders
+DAY_BEFORE = "2024-01-14"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -46,12 +47,13 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     return e.select(F.col("event_id").alias("offset"), F.to_json(body).alias("value"))
 
 
-def orders(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
-    """Order rows without province and original amount. ``day`` reaches the scan."""
+def orders(spark: SparkSession, folder: str, days: tuple[str, ...] = ()) -> DataFrame:
+    """Order rows without province and original amount, of all days or of the
+    given ones, which reach the scan as a filter."""
     o = table(spark, folder, "orders")
-    if day:
-        o = o.where(F.col("o_orderdate") == F.expr(
-            f"cast(date'{day}' - {SHIFT_DAYS} as timestamp_ntz)"))
+    if days:
+        o = o.where(F.col("o_orderdate").isin(*[
+            F.expr(f"cast(date'{day}' - {SHIFT_DAYS} as timestamp_ntz)") for day in days]))
     created = (F.col("o_orderdate").cast("timestamp")
                + F.make_dt_interval(F.lit(SHIFT_DAYS), F.lit(0), F.lit(0),
                                     F.col("o_orderkey") * 37 % 86400))

@@ -42,4 +42,5 @@ def search_documents(docs: DataFrame, word: str, text: str, objects: str, field:
     scored = docs.where(
         F.exists(objects, lambda o: o[field] == F.lit(value))
     ).select(key, word_count(F.col(text), word).alias("score"))
-    return scored.where("score > 0").orderBy(F.desc("score"), F.asc(key)).limit(size)
+    # filtered last: before the limit the words would be counted twice
+    return scored.orderBy(F.desc("score"), F.asc(key)).limit(size).where("score > 0")
