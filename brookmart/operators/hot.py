@@ -24,9 +24,12 @@ def hot_keys(rows: DataFrame, key: str, order: str,
              more_than: int = HOT_ROWS) -> DataFrame | None:
     """Keys with too many rows, ``(key, _parts, _lo, _hi)``, or None if there are none.
 
-    Runs one aggregate over the two columns now. What it finds is written to the
-    work folder, so that it is counted once and Spark knows its size.
+    Runs one aggregate over the two columns now, unless there are too few rows
+    for any key to be hot. What it finds is written to the work folder, so that
+    it is counted once and Spark knows its size.
     """
+    if rows.count() <= more_than:
+        return None
     found = (
         rows.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
