@@ -302,11 +302,11 @@ def sink_topic_json(spark, folder):
 def sink_upsert(spark, folder):
     """All users, then a second batch of those with a debt at a new level."""
     c = shop.table(spark, folder, "customer")
-    first = c.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),
-                     F.lit(1).alias("version"))
+    key = F.col("c_custkey").cast("string")
+    columns = ("id", "name", "version")  # the table's, by position
+    first = c.select(key, "c_name", F.lit(1)).toDF(*columns)
     second = c.where("c_acctbal < 0").select(
-        F.col("c_custkey").cast("string").alias("id"),
-        F.concat("c_name", F.lit("*")).alias("name"), F.lit(2).alias("version"))
+        key, F.concat("c_name", F.lit("*")), F.lit(2)).toDF(*columns)
     path = work_dir(spark, "users")
     ledger.upsert(first, path, 0, ["id"])
     ledger.upsert(second, path, 1, ["id"])

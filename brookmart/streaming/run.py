@@ -13,6 +13,21 @@ INTERVAL = "5 seconds"
 Handler = Callable[[DataFrame, int], None]
 
 
+def _adaptive(handler: Handler) -> Handler:
+    """Let Spark re-plan at run time what the handler does with its batch. Spark
+    turns that off for stateful streams, whose own plan is fixed by then."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        conf = batch.sparkSession.conf
+        before = conf.get("spark.sql.adaptive.enabled")
+        conf.set("spark.sql.adaptive.enabled", "true")
+        try:
+            handler(batch, batch_id)
+        finally:
+            conf.set("spark.sql.adaptive.enabled", before)
+
+    return handle
+
+
 def start(rows: DataFrame, handler: Handler, checkpoint: str, mode: str = "append",
           drain: bool = False) -> StreamingQuery:
     """Run ``handler(batch, batch_id)`` on every micro-batch.
@@ -21,7 +36,7 @@ def start(rows: DataFrame, handler: Handler, checkpoint: str, mode: str = "appen
     batch may come again after a failure, with the same id and rows. With
     ``drain`` the query stops by itself when the input present is used up.
     """
-    writer = rows.writeStream.foreachBatch(handler).outputMode(mode).option(
+    writer = rows.writeStream.foreachBatch(_adaptive(handler)).outputMode(mode).option(
         "checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=INTERVAL)
     return writer.start()

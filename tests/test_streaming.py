@@ -298,6 +298,20 @@ def test_kafka_needs_its_connector(spark):
         streams.kafka_stream(spark, "host:9092", "t", {0: 5})
 
 
+def test_handlers_of_stateful_streams_are_planned_adaptively(spark):
+    feed = Feed(spark, "id int, at string")
+    feed.add((1, "2024-01-01 00:00:00"), (2, "2024-01-01 00:00:00"))
+    seen = []
+
+    def handler(batch, batch_id):
+        grouped = batch.groupBy("id").count()
+        seen.append((grouped.count(), "Adaptive" in grouped._jdf.queryExecution().executedPlan().toString()))
+
+    rows = feed.stream().withColumn("at", F.to_timestamp("at"))
+    drain(jobs.distinct_stream(rows, ["id"], "at"), handler, work_dir(spark, "ck"))
+    assert seen[0] == (2, True)
+
+
 def test_interval_trigger_runs(spark):
     from brookmart.streaming.run import start
     feed = Feed(spark, "id int")
