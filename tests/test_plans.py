@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 import __spark_entry__ as repo
 from brookmart.operators import devices, firstorder, hot, keyed, orderwide
 from brookmart.plans import queries as batch, warehouse
-from brookmart.plans import stream_queries  # noqa: F401
 from brookmart.session import work_dir
 from brookmart.sinks import ledger
 from brookmart.sources import shop, tables

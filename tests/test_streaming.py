@@ -9,7 +9,6 @@ from brookmart.session import work_dir
 from brookmart.sinks import ledger, topics
 from brookmart.sources import streams
 from brookmart.streaming import jobs
-from brookmart.streaming.layers import Layers
 from brookmart.streaming.run import drain, offsets
 
 
