@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from brookmart.llm import rules
+from brookmart.llm import decontaminate, rules
 from brookmart.llm.common import table
 
 
@@ -13,6 +12,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontaminate.build_index(table(spark, sf_dir, "documents"))
+    return decontaminate.search(index, table(spark, sf_dir, "benchmark")).drop("items")
+
+
 QUERIES = {
+    "op10_decontaminate": op10_decontaminate,
     "op2_quality_rules": op2_quality_rules,
 }
