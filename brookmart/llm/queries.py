@@ -4,20 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brookmart.llm import decontaminate, rules
+from brookmart.llm import decontaminate, records, rules
 from brookmart.llm.common import table
+from brookmart.llm.tokens import vocabulary
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return records.round_trip(docs, vocabulary("word_bpe_49k.json")).drop("ids")
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = decontaminate.build_index(table(spark, sf_dir, "documents"))
     return decontaminate.search(index, table(spark, sf_dir, "benchmark")).drop("items")
 
 
 QUERIES = {
+    "op3_token_records": op3_token_records,
     "op10_decontaminate": op10_decontaminate,
     "op2_quality_rules": op2_quality_rules,
 }
