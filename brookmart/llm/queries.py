@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brookmart.llm import decontaminate, records, rules
+from brookmart.llm import decontaminate, packing, records, rules
 from brookmart.llm.common import table
 from brookmart.llm.tokens import vocabulary
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json")).drop("ids")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents")).drop("clean_text")
 
@@ -24,6 +29,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op3_token_records": op3_token_records,
     "op10_decontaminate": op10_decontaminate,
     "op2_quality_rules": op2_quality_rules,
