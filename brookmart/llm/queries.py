@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brookmart.llm import decontaminate, neardup, packing, records, rules
+from brookmart.llm import decontaminate, neardup, packing, records, rules, secrets
 from brookmart.llm.common import table
 from brookmart.llm.tokens import vocabulary
 
@@ -23,6 +23,10 @@ def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.round_trip(docs, vocabulary("word_bpe_49k.json")).drop("ids")
 
 
+def op5_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_token_records": op3_token_records,
+    "op5_secret_novelty": op5_secret_novelty,
     "op8_simhash_pigeonring": op8_simhash_pigeonring,
     "op10_decontaminate": op10_decontaminate,
     "op2_quality_rules": op2_quality_rules,
