@@ -146,7 +146,10 @@ def clean(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars",
     All columns stay; the length column, where there is one, follows the text.
     """
     names = docs.columns
-    judged = judge(docs, names[0], text_col, max_lost, keep=tuple(names)).filter("kept")
+    judged = judge(docs, names[0], text_col, max_lost, keep=tuple(names))
+    # a filter on computed columns would be pushed below them, with all their
+    # expressions repeated in it; it stays above a column that has no fixed value
+    judged = judged.withColumn("__row", F.monotonically_increasing_id()).filter("kept AND __row >= 0")
     new = {text_col: F.col("clean_text"), chars_col: F.length("clean_text").cast("bigint")}
     return judged.select(*[
         new[c].alias(c) if c in new else F.col(f"in_{c}").alias(c) for c in names
