@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brookmart.llm import decontaminate, neardup, packing, records, rules, secrets
+from brookmart.llm import decontaminate, lm, neardup, packing, records, rules, secrets
 from brookmart.llm.common import table
 from brookmart.llm.tokens import vocabulary
 
@@ -27,6 +27,10 @@ def op5_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_token_records": op3_token_records,
     "op5_secret_novelty": op5_secret_novelty,
+    "op7_deleted_interpolation": op7_deleted_interpolation,
     "op8_simhash_pigeonring": op8_simhash_pigeonring,
     "op10_decontaminate": op10_decontaminate,
     "op2_quality_rules": op2_quality_rules,
