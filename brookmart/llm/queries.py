@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brookmart.llm import decontaminate, lm, neardup, packing, records, rules, secrets
+from brookmart.llm import decontaminate, lm, neardup, packing, pii, records, rules, secrets
 from brookmart.llm.common import table
 from brookmart.llm.tokens import vocabulary
 
@@ -23,6 +23,10 @@ def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.round_trip(docs, vocabulary("word_bpe_49k.json")).drop("ids")
 
 
+def op4_character_tagger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_token_records": op3_token_records,
+    "op4_character_tagger": op4_character_tagger,
     "op5_secret_novelty": op5_secret_novelty,
     "op7_deleted_interpolation": op7_deleted_interpolation,
     "op8_simhash_pigeonring": op8_simhash_pigeonring,
