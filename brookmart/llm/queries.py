@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brookmart.llm import decontaminate, lm, neardup, packing, pii, records, rules, secrets
+from brookmart.llm import (
+    decontaminate, linkgraph, lm, neardup, packing, pii, records, rules, secrets, warc,
+)
 from brookmart.llm.common import table
 from brookmart.llm.tokens import vocabulary
 
@@ -31,6 +33,10 @@ def op5_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkgraph.judge(table(spark, sf_dir, "pages"))
+
+
 def op7_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
@@ -39,6 +45,11 @@ def op8_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.damaged_replica(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_sha256", "damaged")
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = decontaminate.build_index(table(spark, sf_dir, "documents"))
     return decontaminate.search(index, table(spark, sf_dir, "benchmark")).drop("items")
@@ -49,8 +60,10 @@ QUERIES = {
     "op3_token_records": op3_token_records,
     "op4_character_tagger": op4_character_tagger,
     "op5_secret_novelty": op5_secret_novelty,
+    "op6_link_graph": op6_link_graph,
     "op7_deleted_interpolation": op7_deleted_interpolation,
     "op8_simhash_pigeonring": op8_simhash_pigeonring,
+    "op9_warc_fixity": op9_warc_fixity,
     "op10_decontaminate": op10_decontaminate,
     "op2_quality_rules": op2_quality_rules,
 }
