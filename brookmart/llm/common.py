@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import uuid
 import zlib
 
 import numpy as np
@@ -43,11 +41,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def free_name(df: DataFrame, wish: str) -> str:
-    """A column name that ``df`` does not have yet."""
-    while wish.lower() in {c.lower() for c in df.columns}:
-        wish += "_"
-    return wish
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with columns c0, c1, ...: no name clashes or needs quoting."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
 
 
 def column(df: DataFrame, name: str) -> Column:
@@ -60,22 +56,11 @@ def crc32_ids(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4").data)
 
 
-def spaced(text: str) -> bytes:
-    return text.encode("utf-8", "surrogatepass")
-
-
-def short_id() -> str:
-    return uuid.uuid4().hex[:12]
-
-
 def partitions_for(spark: SparkSession, n: int, each: int) -> int:
     """As many partitions as ``n`` rows need at ``each`` rows, two at least."""
     return max(2, -(-n // each))
 
 
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-
-
 def lower_ascii(name: str | Column) -> Column:
     """A-Z in lower case, all else as it is."""
     return F.translate(name, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from brookmart.llm.common import column, free_name, stored
+from brookmart.llm.common import numbered, stored
 from brookmart.llm.components import components
 from brookmart.llm.fingerprints import SHINGLE, fingerprint, fingerprints
 
@@ -233,9 +233,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Null ids come after all others; of rows that repeat an id, one stays.
     """
-    mark, row = free_name(docs, "fingerprint"), free_name(docs, "row")
-    at = docs.columns.index(text_col)
-    schema = StructType([*docs.schema.fields, StructField(mark, LongType())])
+    names = docs.columns
+    at, id_at = names.index(text_col), names.index(id_col)
+    plain = numbered(docs)
+    schema = StructType([*plain.schema.fields, StructField("mark", LongType())])
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,14 +244,14 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      for t in batch.column(at)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(np.array(found, np.uint64).view(np.int64))],
-                names=[*batch.schema.names, mark])
-    tagged = stored(docs.mapInArrow(tag, schema).withColumn(row, F.monotonically_increasing_id()), "tagged")
+                names=[*batch.schema.names, "mark"])
+    tagged = stored(plain.mapInArrow(tag, schema).withColumn("row", F.monotonically_increasing_id()), "tagged")
     rows = tagged.select(
-        F.col(row).alias("row"), column(tagged, id_col).cast("long").alias("doc_id"),
-        F.col(mark).alias("fingerprint"))
+        "row", F.col(f"c{id_at}").cast("long").alias("doc_id"), F.col("mark").alias("fingerprint"))
     found = groups(rows, most)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     best = rows.groupBy("fingerprint").agg(first.alias("best")).join(found, "fingerprint")
     stays = best.groupBy("root").agg(F.min("best").alias("best")).select(
         F.col("best.row").alias("__stays"))
-    return tagged.join(stays, F.col(row) == F.col("__stays"), "left_semi").drop(mark, row)
+    kept = tagged.join(stays, F.col("row") == F.col("__stays"), "left_semi")
+    return kept.drop("mark", "row").toDF(*names)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brookmart.llm.common import SPACE, SPACE_RUN
+from brookmart.llm.common import SPACE, SPACE_RUN, column
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -67,7 +67,7 @@ def _repeated(df: DataFrame, words: str, out: str) -> DataFrame:
     Windows are told apart by a 64-bit hash of their words' 64-bit hashes.
     """
     low, win, order, at = (f"__{k}" for k in ("h", "w", "s", "p"))
-    keep = [c for c in df.columns]
+    keep = df.columns
     df = df.withColumn(low, F.transform(words, lambda w: F.xxhash64(w)))
     n = F.size(low)
     df = df.withColumn(win, F.when(n >= WINDOW, F.transform(
@@ -97,12 +97,13 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           max_lost: float = MAX_LOST, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: counts, verdicts and the cleaned text.
 
-    ``keep`` names columns of ``docs`` that are carried along (as ``in_<name>``).
+    ``keep`` names columns of ``docs`` that are carried along, as in_0, in_1 and so on.
     """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    text = F.coalesce(column(docs, text_col).cast("string"), F.lit(""))
+    carried = [f"in_{k}" for k in range(len(keep))]
     df = docs.select(
-        F.col(id_col).alias("doc_id"), text.alias("__text"),
-        *[F.col(c).alias(f"in_{c}") for c in keep],
+        column(docs, id_col).alias("doc_id"), text.alias("__text"),
+        *[column(docs, c).alias(k) for c, k in zip(keep, carried)],
     )
     df = df.withColumns({
         "__words": words_of(F.col("__text")),
@@ -116,7 +117,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.filter("__judged", lambda x: x["fault"].isNull()), lambda x: x["line"]), "\n")
     bare = F.length(F.translate("__text", SPACE, ""))
     df = df.select(
-        "doc_id", *[f"in_{c}" for c in keep], "__text", "__worded", "__judged", "n_repeat_words",
+        "doc_id", *carried, "__text", "__worded", "__judged", "n_repeat_words",
         F.size("__words").cast("bigint").alias("n_words"), bare.cast("bigint").alias("word_chars"),
         clean.alias("clean_text"),
     )
@@ -129,7 +130,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return df.select(
-        "doc_id", *[f"in_{c}" for c in keep], "n_words", "word_chars",
+        "doc_id", *carried, "n_words", "word_chars",
         (F.length("__text") - F.length(F.translate("__text", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
         (F.size("__worded") - F.size(F.array_distinct("__worded"))).cast("bigint").alias("n_dup_lines"),
         "n_repeat_words", base_failed.alias("base_failed"),
@@ -150,7 +151,10 @@ def clean(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars",
     # a filter on computed columns would be pushed below them, with all their
     # expressions repeated in it; it stays above a column that has no fixed value
     judged = judged.withColumn("__row", F.monotonically_increasing_id()).filter("kept AND __row >= 0")
-    new = {text_col: F.col("clean_text"), chars_col: F.length("clean_text").cast("bigint")}
+    kind = dict(docs.dtypes)
+    new = {text_col: F.col("clean_text")}
+    if chars_col in kind:
+        new[chars_col] = F.length("clean_text").cast(kind[chars_col])
     return judged.select(*[
-        new[c].alias(c) if c in new else F.col(f"in_{c}").alias(c) for c in names
+        new[c].alias(c) if c in new else F.col(f"in_{k}").alias(c) for k, c in enumerate(names)
     ])
