@@ -1,0 +1,33 @@
+import pytest
+from pyspark.sql import types as T
+
+SF = "/root/testdata/sf0.001"
+LONG = "Der lange Text. " * 20_000
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """Nulls, empty and long texts, ties, repeated rows, and columns with names that clash."""
+    rows = [
+        (1, None), (2, ""), (3, " \n\t "), (4, "one"), (4, "one"), (4, "one"), (None, "null id here. Yes"),
+        (None, None), (5, LONG), (6, LONG), (7, "é́ß ß x <|endoftext|> \U0001f600  two  spaces"),
+        (8, "same words in the same order again and again"), (9, "same words in the same order again and again"),
+        (-3, "password=abcdefghijkl123 +1 (222) 555-1234 a@b.cd 10.0.0.1 4111 1111 1111 1111"),
+    ]
+    schema = T.StructType([T.StructField(n, t) for n, t in (
+        ("doc_id", T.LongType()), ("text", T.StringType()), ("lang", T.StringType()), ("source", T.StringType()),
+        ("n_chars", T.LongType()), ("fingerprint", T.StringType()), ("row", T.StringType()), ("file", T.LongType()),
+        ("n_words", T.StringType()), ("in_0", T.StringType()), ("a.b", T.StringType()), ("id", T.LongType()))])
+    return spark.createDataFrame(
+        [(i, t, "en", None, None if t is None else len(t), "x", "y", 1, "w", "z", "d", k) for k, (i, t) in enumerate(rows)],
+        schema)
+
+
+@pytest.fixture(scope="session")
+def none(odd):
+    return odd.limit(0)

@@ -1,0 +1,90 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+from hypothesis import given
+from hypothesis import strategies as st
+
+from brookmart.llm import lm
+
+
+def tokens(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return [w for w in low.translate({k: " " for k in range(9, 14)}).split(" ") if w] + [""]
+
+
+def is_held_out(key):
+    return key is not None and zlib.crc32(str(key).encode()) % 10 == 0
+
+
+def test_base_score_and_blocks(docs, odd):
+    for frame in (docs, odd):
+        rows = frame.collect()
+        train = Counter(w for r in rows if not is_held_out(r.doc_id) for w in tokens(r.text))
+        n, v = sum(train.values()), len(train)
+        want = sorted((str(r.doc_id), len(tokens(r.text)), sum(train[w] > 0 for w in tokens(r.text)), is_held_out(r.doc_id),
+                       sum(math.log10((train[w] + .1) / (n + .1 * (v + 1))) for w in tokens(r.text))) for r in rows)
+        scores = []
+        for words in (1_000_000, 3000):
+            got = lm.score(frame, block_words=words).collect()
+            assert {r.train_tokens for r in got} == {n}
+            have = sorted((str(r.doc_id), r.n_tokens, r.n_known, r.held_out, r.base_score) for r in got)
+            assert [x[:4] for x in have] == [x[:4] for x in want]
+            assert np.allclose([x[4] for x in have], [x[4] for x in want], rtol=1e-9)
+            scores.append(sorted((str(r.doc_id), r.score) for r in got))
+        assert np.allclose([x[1] for x in scores[0]], [x[1] for x in scores[1]], rtol=1e-9)
+
+
+def test_model_against_dictionaries(docs):
+    """The same model by plain dictionaries, with the same weights."""
+    rows = docs.collect()
+    parts = {k: [[""] + tokens(r.text) for r in rows if lm.part_of(r.doc_id) == k] for k in range(3)}
+    train = parts[1] + parts[2]
+    one, two = Counter(w for t in train for w in t[1:]), Counter(p for t in train for p in zip(t, t[1:]))
+    one_less, two_less = one.copy(), two.copy()
+    one_less.subtract(w for t in parts[1] for w in t[1:])
+    two_less.subtract(p for t in parts[1] for p in zip(t, t[1:]))
+    n, v = sum(one.values()), len(one)
+    cells = Counter()
+    for t in parts[1]:
+        for a, b in zip(t, t[1:]):
+            c = np.array([one_less[a]])
+            cells[int(((lm.context_class(c) * lm.BINS + lm.bin_of(np.array([two_less[a, b]]) / max(one_less[a], 1) * (v + 1)))
+                       * lm.BINS + lm.bin_of(np.array([one_less[b]]) / sum(one_less.values()) * (v + 1)))[0])] += 1
+    weights = lm.learn_weights(np.array(sorted(cells)), np.array([cells[c] for c in sorted(cells)]))
+    got = {r.doc_id: r.score for r in lm.score(docs).collect()}
+    for r in rows[:60]:
+        t = [""] + tokens(r.text)
+        want = 0.0
+        for a, b in zip(t, t[1:]):
+            w = weights[lm.context_class(np.array([one[a]]))[0]]
+            want += math.log10(w[0] * two[a, b] / max(one[a], 1) + w[1] * one[b] / n + w[2] / (v + 1))
+        assert math.isclose(got[r.doc_id], want, rel_tol=1e-7)
+
+
+def test_better_than_words_alone_on_held_out_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = [r for r in lm.score(docs).collect() if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held) * 0.8
+
+
+def test_nothing(none):
+    assert lm.score(none).count() == 0
+
+
+@given(st.lists(st.integers(0, 2**64 - 1), max_size=40))
+def test_squeezed_integers(values):
+    assert lm.expand(lm.squeeze(np.array(values, np.uint64))).tolist() == values
+
+
+def test_weights_find_the_mixture():
+    rng = np.random.default_rng(1)
+    # words of one class come from the pair estimate in 7 of 10 cases, else evenly
+    v, seen = 1000, 7
+    pair = rng.random(20_000) < 0.7
+    cells = np.where(pair, (seen * lm.BINS + lm.bin_of(np.array([0.5 * v]))[0]) * lm.BINS, seen * lm.BINS * lm.BINS)
+    keys, n = np.unique(cells, return_counts=True)
+    weights = lm.learn_weights(keys, n)
+    assert abs(weights[seen, 0] - 0.7) < 0.02 and np.allclose(weights.sum(axis=1), 1)
+    assert weights[0, 0] == 0

@@ -1,0 +1,116 @@
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from brookmart.llm import pii, tagger
+
+# the patterns as they are given, for plain searching
+PLAIN = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+         ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
+
+
+def slow_spans(text):
+    out = []
+    for kind, pattern in PLAIN:
+        for m in re.finditer(pattern, text):
+            n = re.sub("[^0-9]", "", m[0])
+            if (kind == "ip" and any(int(p) > 255 for p in m[0].split("."))
+                    or kind == "card" and not (12 <= len(n) <= 19 and pii.luhn(n))
+                    or kind == "phone" and not 9 <= len(n) <= 15):
+                continue
+            out.append((m.start(), m.end(), kind))
+    return sorted(out, key=lambda s: (s[0], pii.KINDS.index(s[2])))
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text("ab12340.@+- ()é", max_size=80))
+def test_base_against_plain_patterns(text):
+    assert pii.base_spans(text) == slow_spans(text)
+
+
+def test_long_runs_are_cheap():
+    assert pii.base_spans("a" * 300_000 + "1" * 300_000 + "@@") == []
+
+
+def test_gradients_against_differences():
+    rng = np.random.default_rng(0)
+    p = {k: v.astype(np.float64) for k, v in tagger.new_params(6, 3, 4, 3).items()}
+    x, y = rng.integers(0, 6, (3, 5)), rng.integers(0, 3, (3, 5))
+    _, g = tagger.gradients(p, x, y)
+    for k in p:
+        at = (x[0, 0], 1) if k == "embed" else tuple(rng.integers(0, s) for s in p[k].shape)
+        sides = []
+        for e in (1e-3, -1e-3):
+            q = {a: b.copy() for a, b in p.items()}
+            q[k][at] += e
+            sides.append(tagger.gradients(q, x, y)[0])
+        assert abs((sides[0] - sides[1]) / 2e-3 - g[k][at]) < 1e-4
+
+
+def test_best_path_against_all_paths():
+    p = tagger.new_params(5, 3, 4, 3, seed=2)
+    p["next"] = np.random.default_rng(1).standard_normal((3, 3)).astype(np.float32)
+    x = np.array([[0, 1, 2, 3]])
+    scores = tagger.emissions(p, x)[0][:, 0]
+    def of(path):
+        return p["first"][path[0]] + sum(scores[t][k] for t, k in enumerate(path)) + sum(
+            p["next"][a, b] for a, b in zip(path, path[1:]))
+    paths = [tuple(int(k) for k in np.base_repr(i, 3).zfill(4)) for i in range(81)]
+    path, sure = tagger.decode(p, x)
+    assert tuple(path[0]) == max(paths, key=of)
+    chance = np.exp([of(q) for q in paths])
+    assert np.allclose(sure[0], [sum(c for c, q in zip(chance, paths) if q[t] == path[0][t]) / chance.sum() for t in range(4)],
+                       atol=1e-4)
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    texts = pii.sample_texts(docs, sample=10_000)
+    return pii.learn(texts[:len(texts) // 2]), texts[len(texts) // 2:]
+
+
+def test_held_out_accuracy(trained):
+    params, texts = trained
+    right = missed = 0
+    extra = []
+    for text, found in zip(texts, pii.tagged_spans(params, texts)):
+        want = set(pii.base_spans(text))
+        got = {x[:3] for x in found if x[3] >= pii.SURE and pii.has_shape(text, *x[:3])}
+        right, missed = right + len(want & got), missed + len(want - got)
+        extra += got - want
+    assert right >= 0.9 * (right + missed) and len(extra) <= 0.1 * right
+
+
+def test_forms_the_patterns_lack(trained):
+    params, texts = trained
+    prose = next(t for t in texts if len(t) > 400)[:200].rsplit(" ", 1)[0]
+    prose = re.sub("[0-9@]", "", prose)
+    found = 0
+    for form in ("(212) 555-0187", "415-555-2671", "4111.1111.1111.1111", "5500.0000.0000.0004"):
+        text = f"{prose} {form} {prose}"
+        base, every = pii.spans_of(params, [text])[0]
+        found += any(text[s:e] == form for s, e, _ in every)
+        assert [s for s in every if s in base] == base
+    assert found >= 3
+    for number in ("9597024294303453", "2183610416264601"):
+        assert pii.spans_of(params, [f"{prose} {number} {prose}"])[0] == ([], [])
+    assert pii.spans_of(params, [f"{prose} version 3 of 4.0 {prose}"])[0] == ([], [])
+
+
+def test_whole_query(docs, odd, none):
+    for frame in (docs, odd):
+        want = sorted((str(r.doc_id), len(slow_spans(r.text or ""))) for r in frame.collect())
+        got = pii.scan(frame).collect()
+        assert sorted((str(r.doc_id), r.n_email + r.n_ip + r.n_card + r.n_phone) for r in got) == want
+        for r in got:
+            assert (len(r.spans.split(",")) if r.spans else 0) == r.n_email + r.n_ip + r.n_card + r.n_phone + r.n_added
+    assert pii.scan(none).count() == 0
+
+
+def test_reconciled_spans_do_not_overlap():
+    got = pii.reconcile([(0, 5, "ip", 0.9), (3, 12, "card", 0.95), (12, 14, "ip", 0.5), (12, 14, "ip", 0.7)])
+    assert got == [(3, 12, "card", 0.95), (12, 14, "ip", 0.7)]

@@ -1,0 +1,50 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from brookmart.llm import records
+from brookmart.llm.common import crc32_ids, folder
+from brookmart.llm.tokens import encoder, vocabulary
+
+PATH = vocabulary("word_bpe_49k.json")
+
+
+def test_round_trip_against_the_tokenizer(docs, odd):
+    tokens = encoder(PATH, False).tokenizer
+    for frame in (docs, odd):
+        got = records.round_trip(frame, PATH).orderBy("start").collect()
+        texts = {}
+        for r in frame.collect():
+            ids = tokens.encode(r.text or "", add_special_tokens=False).ids + [2]
+            texts.setdefault(r.doc_id, []).append((len(ids), crc32_ids(np.array(ids))))
+        start, last = 0, None
+        for r in got:
+            assert r.start == start
+            assert last is None or r.doc_id >= last
+            texts[r.doc_id].remove((r.n_tokens, r.ids_crc32))
+            start, last = start + r.n_tokens, r.doc_id
+        assert not any(texts.values())
+
+
+def test_shuffled_reads_and_nothing(spark, docs, none):
+    target = folder(spark, "test-records")
+    index = records.write_records(docs, target, PATH)
+    some = records.fetch(index.filter("doc_id % 7 = 3").orderBy(F.desc("offset")), target).collect()
+    whole = {r.doc_id: r for r in records.read_records(index, target).collect()}
+    assert len(some) == index.filter("doc_id % 7 = 3").count() > 0
+    assert all(r.ids == whole[r.doc_id].ids and r.ids[-1] == 2 for r in some)
+    assert records.round_trip(none, PATH).collect() == []
+
+
+def test_damage_is_seen():
+    data = records.frame(records.pack(5, b"\x01\x00\x02\x00", 2))
+    key, ids = records.unpack(records.unframe(data))
+    assert key == 5 and ids.tolist() == [1, 2]
+    assert records.unpack(records.unframe(records.frame(records.pack(None, b"", 4))))[0] is None
+    for at in range(len(data)):
+        broken = bytearray(data)
+        broken[at] ^= 4
+        with pytest.raises(records.DamagedRecord):
+            records.unframe(bytes(broken))
+    with pytest.raises(records.DamagedRecord):
+        records.unframe(data[:-1])
