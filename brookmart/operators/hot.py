@@ -6,8 +6,8 @@ order values, and the key's rows of the other side are repeated per part; all
 other keys keep the single part ``COLD``. Data is looked at first: where no key
 is hot, as is usual, plans are built without parts.
 
-Hot keys can be broadcast: n rows have at most ``n / HOT_ROWS`` of them, which
-is a million short rows for 10^12 rows.
+Hot keys are written to a table, so Spark knows their size and broadcasts them
+where that is small.
 """
 
 from __future__ import annotations
@@ -44,16 +44,17 @@ def hot_keys(rows: DataFrame, key: str, order: str,
 
 
 def _part(order: str) -> Column:
-    """The part of a row: never falls as the order value rises."""
+    """The part of a row: never falls as the order value rises; nulls sort first."""
     span = (F.col("_hi") - F.col("_lo")).cast("double") + 1
     share = (F.col(order) - F.col("_lo")).cast("double") / span
-    return F.least(F.floor(share * F.col("_parts")).cast("int"), F.col("_parts") - 1)
+    at = F.least(F.floor(share * F.col("_parts")).cast("int"), F.col("_parts") - 1)
+    return F.when(F.col(order).isNull(), F.lit(0)).otherwise(at)
 
 
 def with_part(rows: DataFrame, key: str, order: str, hot: DataFrame) -> DataFrame:
     """Add ``_part``, by which rows of a hot key are spread."""
     return (
-        rows.join(F.broadcast(hot), key, "left")
+        rows.join(hot, key, "left")
         .withColumn("_part", F.when(F.col("_parts").isNull(), F.lit(COLD)).otherwise(_part(order)))
         .drop("_parts", "_lo", "_hi")
     )
@@ -64,7 +65,7 @@ def per_part(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     parts = F.when(F.col("_parts").isNull(), F.array(F.lit(COLD))).otherwise(
         F.sequence(F.lit(0), F.col("_parts") - 1))
     return (
-        rows.join(F.broadcast(hot), key, "left")
+        rows.join(hot, key, "left")
         .withColumn("_part", F.explode(parts))
         .drop("_parts", "_lo", "_hi")
     )
@@ -75,8 +76,7 @@ def running_sums(rows: DataFrame, key: str, order: list[str], sums: dict[str, Co
     """Add sums over the rows of the same key up to and including the row.
 
     With ``hot``, rows must carry ``_part``: each part is summed by itself, and
-    the total of the parts before it is added. Parts of hot keys are few
-    (one per ``HOT_ROWS`` rows), so their totals are broadcast.
+    the total of the parts before it is added.
     """
     by = [key] if hot is None else [key, "_part"]
     w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -90,7 +90,7 @@ def running_sums(rows: DataFrame, key: str, order: list[str], sums: dict[str, Co
         .select(key, "_part", *[F.sum(f"_t_{n}").over(before).alias(f"_b_{n}") for n in sums])
     )
     return (
-        out.join(F.broadcast(totals), [key, "_part"], "left")
+        out.join(totals, [key, "_part"], "left")
         .withColumns({n: F.col(n) + F.coalesce(F.col(f"_b_{n}"), F.lit(0)) for n in sums})
         .drop(*[f"_b_{n}" for n in sums])
     )

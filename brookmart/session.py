@@ -50,7 +50,8 @@ def build(app: str = "brookmart", master: str | None = None, **extra: str) -> Sp
 
 
 def _local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 _local_root: str | None = None

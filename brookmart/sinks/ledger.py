@@ -2,7 +2,9 @@
 
 Batch N lives in the folder ``batch_id=N`` and is written with overwrite, so a
 batch that runs again after a failure replaces its own rows and nothing else:
-with a replayable source the table holds every batch exactly once.
+with a replayable source the table holds every batch exactly once. When its job
+is done, a batch is committed by a marker file in the table's ``_commits`` folder;
+readers see committed batches only, whatever markers Spark's writers leave.
 
 Keyed tables are merged when read: the newest row of a key wins. Every
 ``FULL_EVERY`` batches the merged rows are also written as ``full_id=N``, from
@@ -13,11 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from brookmart.operators.keyed import last_per_key
 
-BATCH, FULL = "batch_id", "full_id"
+BATCH, FULL, COMMITS = "batch_id", "full_id", "_commits"
 FULL_EVERY = 100
 
 
@@ -27,35 +29,59 @@ def write_batch(rows: DataFrame, path: str, batch_id: int, by: Sequence[str] = (
     Rows are rebalanced on the partition columns, which keeps files few and
     splits a day too large for one file.
     """
-    _write(rows, f"{path}/{BATCH}={batch_id}", by)
+    _write(rows, path, f"{BATCH}={batch_id}", by)
 
 
-def _write(rows: DataFrame, folder: str, by: Sequence[str]) -> None:
+def _write(rows: DataFrame, path: str, name: str, by: Sequence[str]) -> None:
+    fs, folder = _folder(rows.sparkSession, path)
+    marker = folder.suffix(f"/{COMMITS}/{name}")
+    fs.delete(marker, False)
     if by:
         rows = rows.hint("rebalance", *by)
-    rows.write.mode("overwrite").partitionBy(*by).parquet(folder)
+    rows.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{name}")
+    fs.create(marker, True).close()
+
+
+def is_committed(spark: SparkSession, path: str, batch_id: int) -> bool:
+    fs, folder = _folder(spark, path)
+    return fs.exists(folder.suffix(f"/{COMMITS}/{BATCH}={batch_id}"))
 
 
 def upsert(rows: DataFrame, path: str, batch_id: int, keys: Sequence[str],
-           version: Sequence[str] = (), full_every: int = FULL_EVERY) -> None:
-    """Write one batch of a keyed table, and from time to time all of it."""
+           version: Sequence[str] = (), full_every: int = FULL_EVERY, tidy: bool = False) -> None:
+    """Write one batch of a keyed table, and from time to time all of it.
+
+    ``tidy`` deletes then what only readers of long past batches would need.
+    """
     write_batch(rows, path, batch_id)
     if batch_id % full_every == full_every - 1:
         everything = read_latest(rows.sparkSession, path, rows.schema, keys, version, before=batch_id + 1)
-        _write(everything, f"{path}/{FULL}={batch_id}", ())
+        _write(everything, path, f"{FULL}={batch_id}", ())
+        if tidy:
+            expire(rows.sparkSession, path)
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All rows of a table that is only appended to, with the batch they came in."""
     if not _ids(spark, path, BATCH):
         return spark.createDataFrame([], _with_batch(schema))
-    return spark.read.schema(_with_batch(schema)).parquet(path)
+    return spark.read.schema(_with_batch(schema)).parquet(path).where(committed(spark, path))
+
+
+def committed(spark: SparkSession, path: str) -> Column:
+    """A condition on the batch column: batches begun but not committed are left out."""
+    fs, folder = _folder(spark, path)
+    begun = {int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(folder)
+             if s.getPath().getName().startswith(f"{BATCH}=")}
+    return ~F.col(BATCH).isin(sorted(begun.difference(_ids(spark, path, BATCH))))
 
 
 def read_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
-    """The rows of one batch, none if it was not written."""
-    if batch_id not in _ids(spark, path, BATCH):
+    """The rows of one batch; none before the first. A batch that is not there raises."""
+    if batch_id < 0:
         return spark.createDataFrame([], schema)
+    if not is_committed(spark, path, batch_id):
+        raise LookupError(f"batch {batch_id} of {path} is not committed")
     return spark.read.schema(schema).parquet(f"{path}/{BATCH}={batch_id}")
 
 
@@ -97,11 +123,21 @@ def expire(spark: SparkSession, path: str) -> int:
     if len(fulls) < 2:
         return 0
     old = [f"{BATCH}={i}" for i in _ids(spark, path, BATCH) if i <= fulls[-2]]
-    old += [f"{FULL}={i}" for i in fulls[:-2]]
+    return _delete(spark, path, old + [f"{FULL}={i}" for i in fulls[:-2]])
+
+
+def expire_before(spark: SparkSession, path: str, batch_id: int) -> int:
+    """Delete the batches before ``batch_id`` of a table of which only the last counts."""
+    return _delete(spark, path, [f"{BATCH}={i}" for i in _ids(spark, path, BATCH) if i < batch_id])
+
+
+def _delete(spark: SparkSession, path: str, names: list[str]) -> int:
     fs, folder = _folder(spark, path)
-    for name in old:
+    for name in names:
+        # without its marker a folder is not read any more
+        fs.delete(folder.suffix(f"/{COMMITS}/{name}"), False)
         fs.delete(folder.suffix(f"/{name}"), True)
-    return len(old)
+    return len(names)
 
 
 def _with_batch(schema: T.StructType) -> T.StructType:
@@ -115,14 +151,10 @@ def _folder(spark: SparkSession, path: str):
 
 
 def _ids(spark: SparkSession, path: str, kind: str) -> list[int]:
-    """Ids of the finished folders of a table."""
+    """Ids of the committed folders of a table."""
     fs, folder = _folder(spark, path)
-    if not fs.exists(folder):
+    commits = folder.suffix(f"/{COMMITS}")
+    if not fs.exists(commits):
         return []
-    found = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith(f"{kind}=")]
-    ids = {int(p.getName().split("=")[1]): p for p in found}
-    # the newest folder may still be being written
-    newest = max(ids, default=None)
-    if newest is not None and not fs.exists(folder.suffix(f"/{kind}={newest}/_SUCCESS")):
-        del ids[newest]
-    return sorted(ids)
+    names = [s.getPath().getName() for s in fs.listStatus(commits)]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{kind}="))

@@ -234,6 +234,16 @@ def test_split_of_hot_orders_equals_plain(spark):
     assert finals(orderwide.split_payment(rows)) == by_hand(lines)
 
 
+def test_hot_orders_with_null_order_values_equal_plain(spark):
+    rows = spark.createDataFrame([(1, None), (1, 1), (1, 2), (1, 3), (1, 4), (2, None), (2, -5)], "k int, v int")
+    large = hot.hot_keys(rows, "k", "v", more_than=2)
+    one = {"n": F.lit(1), "s": F.coalesce(F.col("v"), F.lit(100))}
+    plain = hot.running_sums(rows, "k", ["v"], one)
+    parted = hot.running_sums(hot.with_part(rows, "k", "v", large), "k", ["v"], one, large).drop("_part")
+    key = lambda f: sorted(map(repr, map(tuple, f.select("k", "v", "n", "s").collect())))
+    assert key(plain) == key(parted)
+
+
 def test_no_hot_keys_is_none(spark):
     assert hot.hot_keys(spark.createDataFrame(skewed_lines(), LINE), "order_id", "order_detail_id") is None
 

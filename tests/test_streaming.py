@@ -164,6 +164,43 @@ def test_payment_over_batches_survives_a_crash(spark, hot_rows):
     assert got == {11: 33, 12: 33, 13: 34, 31: 33, 32: 33, 33: 34, 21: 33, 22: 33, 23: 33}
 
 
+def test_one_line_dated_ahead_forgets_no_order(spark):
+    feed = Feed(spark, "order_id bigint, order_detail_id bigint, detail_amount double, "
+                       "original_total_amount double, final_total_amount double, at string")
+    sums, out = work_dir(spark, "sums"), work_dir(spark, "out")
+    batches = [
+        [(1, 11, 1.0, 3.0, 1.0, "2024-01-01 12:00:00"), (5, 51, 1.0, 3.0, 1.0, "2024-01-01 12:00:00"),
+         (9, 91, 1.0, 1.0, 1.0, "2024-01-01 12:45:00")],
+        [(1, 12, 1.0, 3.0, 1.0, "2024-01-01 12:01:00"), (5, 52, 3.0, 3.0, 1.0, "2024-01-01 12:01:00")],
+        [(1, 13, 1.0, 3.0, 1.0, "2024-01-01 12:02:00"), (5, 53, -1.0, 3.0, 1.0, "2024-01-01 12:02:00")],
+    ]
+    shape = lambda rows: rows.withColumn("ts", F.to_timestamp("at")).drop("at")
+    run_with_crash(feed, shape, jobs.split_payment_handler(sums, out), batches, 1)
+    got = {r.order_detail_id: r.final_cents for r in spark.read.parquet(out).collect()}
+    assert (got[11], got[12], got[13]) == (33, 33, 34)
+    # the last running sum of order 5 is smaller than the one before it
+    assert {r.order_id: r.amount_before for r in ledger.read_batch(spark, sums, jobs.SUMS, 2).collect()}[5] == 300
+    # sums of long past batches are gone
+    assert ledger._ids(spark, sums, ledger.BATCH) == [1, 2]
+
+
+def test_copies_keep_their_types(spark):
+    rows = spark.createDataFrame(
+        [(1, None), (1, 2**53 + 1), (2, 2**53 + 1), (2, None)], "k bigint, v bigint").coalesce(1)
+    got = sorted(map(tuple, jobs.combine_copies(rows, ["k"]).collect()))
+    assert got == [(1, None), (2, 2**53 + 1)]
+    assert jobs.combine_copies(rows, ["v"]).count() == 2
+
+
+def test_a_repeated_order_is_first_once(spark):
+    feed = Feed(spark, "id bigint, user_id bigint, create_time string")
+    status, out = work_dir(spark, "status"), work_dir(spark, "out")
+    run_with_crash(feed, lambda rows: rows, jobs.first_order_handler(status, out),
+                   [[(1, 7, "t1"), (1, 7, "t1"), (2, 7, "t0")], [(3, 8, "t2")], [(3, 8, "t2")]], 1)
+    marks = sorted((r.id, r.if_first_order) for r in spark.read.parquet(out).collect())
+    assert marks == [(1, "0"), (2, "1"), (3, "0"), (3, "1")]
+
+
 def test_resume_and_offsets(spark):
     feed = Feed(spark, "id int")
     out, checkpoint = work_dir(spark, "out"), work_dir(spark, "ck")
@@ -212,7 +249,7 @@ def test_ledger_expire_keeps_what_is_read(spark):
     before = sorted(map(tuple, ledger.read_latest(spark, path, rows.schema, ["id"]).collect()))
     assert before == [("k0", 6), ("k1", 4), ("k2", 5)]
     # full at 1, 3 and 5: batches 0 to 3 and the first full writing go
-    assert ledger.expire(spark, path) == 5
+    assert ledger.expire(spark, path) == 5 and ledger.expire(spark, path) == 0
     assert sorted(map(tuple, ledger.read_latest(spark, path, rows.schema, ["id"]).collect())) == before
 
 
@@ -224,6 +261,31 @@ def test_ledger_skips_a_batch_that_is_not_finished(spark):
     assert ledger.read_changes(spark, path, rows.schema).count() == 1
 
 
+def test_a_committed_batch_is_read_without_success_markers(spark):
+    path = work_dir(spark, "t")
+    rows = spark.createDataFrame([("a", 1)], "id string, v int")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        ledger.write_batch(rows, path, 0)
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert ledger.read_batch(spark, path, rows.schema, 0).count() == ledger.read(spark, path, rows.schema).count() == 1
+    assert ledger.read_batch(spark, path, rows.schema, -1).count() == 0
+    # a batch begun and not committed is not read, and asking for it raises
+    rows.write.parquet(f"{path}/batch_id=1")
+    assert ledger.read(spark, path, rows.schema).count() == 1
+    with pytest.raises(LookupError):
+        ledger.read_batch(spark, path, rows.schema, 1)
+
+
+def test_many_batches_leave_few_folders(spark):
+    path = work_dir(spark, "t")
+    for i in range(13):
+        ledger.upsert(spark.createDataFrame([(f"k{i % 3}", i)], "id string, v int"), path, i, ["id"], full_every=3, tidy=True)
+    assert len(ledger._ids(spark, path, ledger.BATCH)) <= 6 and len(ledger._ids(spark, path, ledger.FULL)) == 2
+
+
 def test_messages_leave_nulls_out(spark):
     rows = spark.createDataFrame([(1, None)], "id int, name string")
     assert tuple(topics.to_messages(rows, "t", "id").first()) == ("t", "1", '{"id":1}')
