@@ -2,4 +2,85 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from brookmart.llm.rules import BOILERPLATE, LONG_LINE, MAX_LOST, MAX_REPEAT_PERCENT, MIN_WORDS, WINDOW
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+_BARE = r"regexp_replace({}, '[ \x09-\x0D]+', '', 'g')"
+
+
+def _without(line: str, some: str) -> str:
+    """How many of some characters a line has."""
+    return f"(length({line}) - length(translate({line}, '{some}', '')))"
+
+
+_SPACES = "(length(line) - length(translate(line, ' ' || chr(9), '')))"
+_BOILER = " OR ".join(f"contains(lower(line), '{p}')" for p in BOILERPLATE)
+
+ORACLE: dict[str, str] = {
+    "op2_quality_rules": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^ \x09-\x0D]+') AS w
+  FROM documents),
+win AS (
+  SELECT k, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS s
+  FROM (SELECT k, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM d WHERE len(w) >= {WINDOW})),
+twice AS (SELECT k, i, count(*) OVER (PARTITION BY k, s) AS n FROM win),
+rep AS (
+  SELECT k, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT k, unnest(range(i, i + {WINDOW})) AS p FROM twice WHERE n > 1) GROUP BY k),
+lines AS (SELECT k, unnest(string_split(text, chr(10))) AS line FROM d),
+faults AS (
+  SELECT k, line, length({_BARE.format('line')}) AS bare,
+    CASE WHEN ({_BOILER}) AND length(line) <= 200 THEN 'boilerplate'
+         WHEN {_without('line', '|»›·')} >= 3 AND {_without('line', '|»›·')} * 4 >= {_SPACES} THEN 'navigation'
+         WHEN length(line) - length(replace(line, '!!', '')) >= 6
+          AND (length(line) - length(replace(line, '!!', ''))) * 2 >= {_SPACES} THEN 'punctuation'
+         WHEN {_without('line', '#*$%&<>{}')} >= 6 AND {_without('line', '#*$%&<>{}')} * 2 >= {_SPACES} THEN 'punctuation'
+         WHEN {_SPACES} >= {LONG_LINE} AND NOT regexp_matches(line, '[.!?…。！？]') THEN 'punctuation' END AS fault
+  FROM lines),
+per AS (
+  SELECT k, count(line) FILTER (bare > 0) - count(DISTINCT line) FILTER (bare > 0) AS n_dup_lines,
+    coalesce(sum(bare) FILTER (fault IS NOT NULL), 0)::BIGINT AS lost_chars,
+    count(*) FILTER (fault = 'punctuation') AS n_punctuation,
+    count(*) FILTER (fault = 'navigation') AS n_navigation,
+    count(*) FILTER (fault = 'boilerplate') AS n_boilerplate
+  FROM faults GROUP BY k),
+base AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length({_BARE.format('text')})::BIGINT AS word_chars,
+    {_without('text', '#*$%&|<>')}::BIGINT AS n_symbols, n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, n_punctuation, n_navigation, n_boilerplate, lost_chars
+  FROM d JOIN per USING (k) LEFT JOIN rep USING (k)),
+failed AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM base)
+SELECT *, NOT base_failed AND lost_chars <= {MAX_LOST} * word_chars AS kept FROM failed
+""",
+    "op9_warc_fixity": """
+SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+  sha256(coalesce(html, '')) AS payload_sha256, page_id % 50 = 0 AS damaged
+FROM pages
+""",
+    "op10_decontaminate": f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM b WHERE len(w) > 0)),
+ns AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT k, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, ns WHERE len(w) >= n)),
+hits AS (SELECT k, i, n, item_id FROM dw JOIN bw USING (n, win)),
+pos AS (
+  SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(i, i + n)) AS p FROM hits) GROUP BY k),
+its AS (
+  SELECT k, count(DISTINCT item_id) AS n_items,
+    sha256(array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',')) AS items_sha256
+  FROM hits GROUP BY k)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN pos USING (k) LEFT JOIN its USING (k)
+""",
+}

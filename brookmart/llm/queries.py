@@ -52,7 +52,7 @@ def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = decontaminate.build_index(table(spark, sf_dir, "documents"))
-    return decontaminate.search(index, table(spark, sf_dir, "benchmark")).drop("items")
+    return decontaminate.search(index, table(spark, sf_dir, "benchmark")).drop("items", "n_near_items")
 
 
 QUERIES = {
