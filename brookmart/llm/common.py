@@ -64,3 +64,20 @@ def partitions_for(spark: SparkSession, n: int, each: int) -> int:
 def lower_ascii(name: str | Column) -> Column:
     """A-Z in lower case, all else as it is."""
     return F.translate(name, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def some_texts(texts: DataFrame, sample: int, pool: int, longest: int, where: Column | None = None) -> list[str]:
+    """At most ``sample`` different texts of the column ``text``, by their hash.
+
+    About ``pool`` rows are picked by hash, wherever they are and in whatever order;
+    of those that are not empty, no longer than ``longest`` and meet ``where``, the
+    ones of least hash are taken. So tasks send on little, however many they are.
+    """
+    n = texts.count()
+    share = min(1.0, pool / max(n, 1))
+    h = F.xxhash64("text")
+    picked = texts.filter((F.pmod(h, F.lit(1 << 30)) < int(share * (1 << 30))) & F.length("text").between(1, longest))
+    if where is not None:
+        picked = picked.filter(where)
+    few = picked.distinct().select(h.alias("h"), "text").orderBy("h", "text").limit(sample)
+    return [r.text for r in few.collect()]

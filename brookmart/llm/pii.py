@@ -28,11 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brookmart.llm import tagger
-from brookmart.llm.common import column
+from brookmart.llm.common import column, some_texts
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents sampled for training, their longest length, and the windows taken.
 SAMPLE, SAMPLE_CHARS, SAMPLE_WINDOWS = 600, 20_000, 1500
+#: Rows these are picked from.
+POOL = 24_000
 #: Batches the tagger learns from; fewer windows come more often.
 STEPS, BATCH = 320, 64
 WINDOW, STRIDE = 64, 32
@@ -194,10 +196,8 @@ def learn(texts: list[str], steps: int = STEPS) -> tagger.Params | None:
 def sample_texts(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE,
                  longest: int = SAMPLE_CHARS) -> list[str]:
     """At most ``sample`` texts with a digit or an @ followed by more, of least hash."""
-    text = column(docs, text_col).cast("string")
-    few = docs.select(text.alias("text")).filter(
-        F.length("text").between(1, longest) & F.col("text").rlike("@[A-Za-z0-9]|[0-9][0-9. -]+[0-9]"))
-    return [r.text for r in few.select(F.xxhash64("text").alias("h"), "text").orderBy("h", "text").limit(sample).collect()]
+    texts = docs.select(column(docs, text_col).cast("string").alias("text"))
+    return some_texts(texts, sample, POOL, longest, F.col("text").rlike("@[A-Za-z0-9]|[0-9][0-9. -]+[0-9]"))
 
 
 def reconcile(spans: list[tuple[int, int, str, float]]) -> list[tuple[int, int, str, float]]:
