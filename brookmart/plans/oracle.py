@@ -159,6 +159,8 @@ ORACLE: dict[str, str] = {
     "dau_first_seen": f'WITH {SEEN} SELECT dt, mid, "offset" AS event_id FROM seen',
     "dau_total": f"WITH {LOGS} SELECT dt, count(DISTINCT mid) AS n FROM logs WHERE is_start GROUP BY dt",
     "dau_hour": f"WITH {SEEN_HOURS} SELECT dt, hr, n FROM hours",
+    "dau_total_day": f"WITH {LOGS} SELECT dt, count(DISTINCT mid) AS n FROM logs WHERE is_start AND {_day} GROUP BY dt",
+    "dau_hour_day": f"WITH {SEEN_HOURS} SELECT dt, hr, n FROM hours WHERE {_day} ORDER BY n DESC, hr LIMIT 24",
     "hour_compare_dau": f"WITH {SEEN_HOURS} {_compare('hours', 'n')}",
     "new_devices": f"WITH {LOGS}, {NEW} SELECT dt, n FROM new",
     # dimensions and lookups
@@ -184,6 +186,8 @@ ORACLE: dict[str, str] = {
     "trademark_chart": f"WITH {TOP} SELECT trademark_name AS x, amount AS y, 1 AS s FROM top",
     "order_amount_total": f"WITH {PAID} SELECT dt, {_amount()} AS amount FROM paid GROUP BY dt",
     "order_amount_hour": f"WITH {AMOUNT_HOURS} SELECT dt, hr, amount FROM hours",
+    "order_amount_day": f"WITH {PAID} SELECT '{shop.DAY}' AS dt, coalesce({_amount()}, 0) AS amount FROM paid WHERE {_day}",
+    "order_hour_map": f"WITH {AMOUNT_HOURS} SELECT dt, hr, amount FROM hours WHERE {_day}",
     "hour_compare_amount": f"WITH {AMOUNT_HOURS} {_compare('hours', 'amount')}",
     "realtime_total": f"WITH {SEEN}, {NEW}, {PAID} " + " UNION ALL ".join([
         _total(0, f"SELECT count(*) FROM seen WHERE {_day}"),

@@ -133,6 +133,16 @@ def dau_hour(spark, folder):
     return devices.hourly_count(warehouse.first_seen(spark, folder))
 
 
+@query
+def dau_total_day(spark, folder):
+    return devices.daily_count(warehouse.first_seen(spark, folder), shop.DAY)
+
+
+@query
+def dau_hour_day(spark, folder):
+    return devices.hourly_count(warehouse.first_seen(spark, folder), shop.DAY)
+
+
 @query
 def hour_compare_dau(spark, folder):
     hours = devices.hourly_count(warehouse.first_seen(spark, folder))
@@ -245,6 +255,19 @@ def order_amount_hour(spark, folder):
     return _double(reports.amount_by_hour(warehouse.paid_lines(spark, folder)), "amount")
 
 
+@query
+def order_amount_day(spark, folder):
+    return _double(reports.amount_total(warehouse.paid_lines(spark, folder, shop.DAY), shop.DAY), "amount")
+
+
+@query
+def order_hour_map(spark, folder):
+    """The day's map of hours, shown as rows."""
+    hours = reports.amount_by_hour(warehouse.paid_lines(spark, folder, shop.DAY), shop.DAY)
+    by_day = reports.hour_map(hours, "amount")
+    return _double(by_day.select("dt", F.explode("hours").alias("hr", "amount")), "amount")
+
+
 @query
 def hour_compare_amount(spark, folder):
     hours = reports.amount_by_hour(warehouse.paid_lines(spark, folder, shop.DAY, shop.DAY_BEFORE))
