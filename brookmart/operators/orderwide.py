@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from brookmart.functions.money import cents, from_cents, share_cents
 from brookmart.operators.hot import per_part, running_sums, with_part
 
-# wide column -> column of the order
+# Column names. Wide column -> column of the order
 ORDER_COLUMNS = {
     "order_id": "id", "order_status": "order_status", "create_time": "create_time",
     "user_id": "user_id", "benefit_reduce_amount": "benefit_reduce_amount",
@@ -16,7 +16,7 @@ ORDER_COLUMNS = {
     "province_name": "province_name", "province_area_code": "province_area_code",
     "user_age_group": "user_age_group", "user_gender": "user_gender", "dt": "create_date",
 }
-# wide column -> column of the line
+# Column names. Wide column -> column of the line
 DETAIL_COLUMNS = {
     "order_detail_id": "id", "order_id": "order_id", "sku_id": "sku_id",
     "sku_price": "order_price", "sku_num": "sku_num", "sku_name": "sku_name",

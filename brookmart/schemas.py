@@ -8,16 +8,24 @@ MONEY = T.DecimalType(18, 2)
 
 
 def _struct(spec: str) -> T.StructType:
-    kinds = {"s": T.StringType(), "l": T.LongType(), "m": MONEY}
+    """A row type from "name kind, name kind"."""
+    kinds = {"string": T.StringType(), "long": T.LongType(), "money": MONEY}
     fields = []
-    for item in spec.split():
-        name, kind = item.rsplit(":", 1)
+    for item in spec.split(", "):
+        name, kind = item.split(" ")
         fields.append(T.StructField(name, kinds[kind]))
     return T.StructType(fields)
 
 
-COMMON = _struct("ar:s ba:s ch:s md:s mid:s os:s uid:s vc:s")
-START = _struct("entry:s loading_time:l open_ad_id:l open_ad_ms:l open_ad_skip_ms:l")
+# The field names of logs, change messages, tables and topics.
+COMMON = _struct(
+    "ar string, ba string, ch string, md string, mid string, os string, uid string, "
+    "vc string"
+)
+START = _struct(
+    "entry string, loading_time long, open_ad_id long, open_ad_ms long, "
+    "open_ad_skip_ms long"
+)
 LOG = T.StructType([
     T.StructField("common", COMMON),
     T.StructField("start", START),
@@ -30,35 +38,45 @@ CANAL = T.StructType([
     T.StructField("table", T.StringType()),
     T.StructField("data", T.ArrayType(T.StringType())),
 ])
-MAXWELL = _struct("type:s table:s data:s")
+MAXWELL = _struct("type string, table string, data string")
 
 ORDER_INFO = _struct(
-    "id:l province_id:l order_status:s user_id:l final_total_amount:m "
-    "benefit_reduce_amount:m original_total_amount:m feight_fee:m "
-    "expire_time:s create_time:s operate_time:s create_date:s create_hour:s "
-    "if_first_order:s province_name:s province_area_code:s province_iso_code:s "
-    "user_age_group:s user_gender:s"
+    "id long, province_id long, order_status string, user_id long, "
+    "final_total_amount money, benefit_reduce_amount money, "
+    "original_total_amount money, feight_fee money, expire_time string, "
+    "create_time string, operate_time string, create_date string, create_hour string, "
+    "if_first_order string, province_name string, province_area_code string, "
+    "province_iso_code string, user_age_group string, user_gender string"
 )
 ORDER_DETAIL = _struct(
-    "id:l order_id:l sku_id:l order_price:m sku_num:l sku_name:s create_time:s "
-    "spu_id:l tm_id:l category3_id:l spu_name:s tm_name:s category3_name:s"
+    "id long, order_id long, sku_id long, order_price money, sku_num long, "
+    "sku_name string, create_time string, spu_id long, tm_id long, category3_id long, "
+    "spu_name string, tm_name string, category3_name string"
 )
 ORDER_WIDE = _struct(
-    "order_detail_id:l order_id:l order_status:s create_time:s user_id:l sku_id:l "
-    "sku_price:m sku_num:l sku_name:s benefit_reduce_amount:m feight_fee:m "
-    "original_total_amount:m final_total_amount:m final_detail_amount:m "
-    "if_first_order:s province_name:s province_area_code:s user_age_group:s "
-    "user_gender:s dt:s spu_id:l tm_id:l category3_id:l spu_name:s tm_name:s "
-    "category3_name:s"
+    "order_detail_id long, order_id long, order_status string, create_time string, "
+    "user_id long, sku_id long, sku_price money, sku_num long, sku_name string, "
+    "benefit_reduce_amount money, feight_fee money, original_total_amount money, "
+    "final_total_amount money, final_detail_amount money, if_first_order string, "
+    "province_name string, province_area_code string, user_age_group string, "
+    "user_gender string, dt string, spu_id long, tm_id long, category3_id long, "
+    "spu_name string, tm_name string, category3_name string"
 )
-USER_INFO = _struct("id:s user_level:s birthday:s gender:s age_group:s gender_name:s")
-PROVINCE_INFO = _struct("id:s name:s area_code:s iso_code:s")
+USER_INFO = _struct(
+    "id string, user_level string, birthday string, gender string, age_group string, "
+    "gender_name string"
+)
+PROVINCE_INFO = _struct("id string, name string, area_code string, iso_code string")
 SKU_INFO = _struct(
-    "id:s spu_id:s price:s sku_name:s tm_id:s category3_id:s create_time:s "
-    "category3_name:s spu_name:s tm_name:s"
+    "id string, spu_id string, price string, sku_name string, tm_id string, "
+    "category3_id string, create_time string, category3_name string, spu_name string, "
+    "tm_name string"
+)
+SPU_INFO = _struct("id string, spu_name string")
+TRADEMARK = _struct("tm_id string, tm_name string")
+CATEGORY3 = _struct("id string, name string, category2_id string")
+USER_STATUS = _struct("user_id string, if_consumed string")
+DAU_INFO = _struct(
+    "mid string, uid string, ar string, ch string, vc string, dt string, hr string, "
+    "mi string, ts long"
 )
-SPU_INFO = _struct("id:s spu_name:s")
-TRADEMARK = _struct("tm_id:s tm_name:s")
-CATEGORY3 = _struct("id:s name:s category2_id:s")
-USER_STATUS = _struct("user_id:s if_consumed:s")
-DAU_INFO = _struct("mid:s uid:s ar:s ch:s vc:s dt:s hr:s mi:s ts:l")
