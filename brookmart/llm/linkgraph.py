@@ -19,6 +19,8 @@ no links. Repeated rows are judged one by one; no rows give none.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +36,8 @@ RULES = (
 DAMPING = 0.85
 #: Of a host's distrusted over its trusted share.
 MARGIN = 0.5
-#: Iterations end when all changes together are below this part of the mass.
-CLOSE, MOST_ROUNDS = 1e-2, 60
+#: What is left of the error in the end; rounds between two writings.
+CLOSE, WRITE_EVERY = 1e-2, 7
 
 _LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
@@ -75,18 +77,25 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return linked.unionByName(family).filter("src <> dst").groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def shares(edges: DataFrame, key: str) -> DataFrame:
-    """Edges with each one's part of all of its ``key`` host."""
-    total = edges.groupBy(key).agg(F.sum("n").alias("total"))
-    return edges.join(total, key).select("src", "dst", (F.col("n") / F.col("total")).alias("share"))
+def moves(edges: DataFrame) -> DataFrame:
+    """(src, dst, ahead, back): parts of src's mass that go to dst along and against links."""
+    ahead = edges.groupBy("src").agg(F.sum("n").alias("total"))
+    back = edges.groupBy("dst").agg(F.sum("n").alias("total"))
+    zero = F.lit(0.0)
+    along = edges.join(ahead, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("ahead"), zero.alias("back"))
+    against = edges.join(back, "dst").select(
+        F.col("dst").alias("src"), F.col("src").alias("dst"), zero.alias("ahead"),
+        (F.col("n") / F.col("total")).alias("back"))
+    return along.unionByName(against).groupBy("src", "dst").agg(
+        F.sum("ahead").alias("ahead"), F.sum("back").alias("back"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING,
-              close: float = CLOSE, most_rounds: int = MOST_ROUNDS) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, close: float = CLOSE) -> DataFrame:
     """(host, trusted, distrusted): shares of each host's mass that come from seeds.
 
     ``seeds`` has a row per host: its numbers of pages, trusted and blocked ones.
-    Masses are not normalised, so both walks of a pair add up page by page.
+    Masses are not normalised, so both walks of a pair add up page by page. Each
+    round leaves ``damping`` of the error before it, which gives their number.
     """
     marks = ["ahead_all", "ahead_seed", "back_all", "back_seed"]
     every = seeds.select("host").unionByName(edges.select(F.col("src").alias("host"))).unionByName(
@@ -95,27 +104,17 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING,
     start = stored(every.join(seeds, "host", "left").select(
         "host", *[F.coalesce(F.col(c).cast("double"), zero).alias(m) for c, m in zip(
             ("pages", "trusted", "pages", "blocked"), marks)]), "seeds")
-    ahead = stored(shares(edges, "src"), "ahead")
-    back = stored(shares(edges, "dst"), "back")
+    steps = stored(moves(edges), "moves")
+    own = start.select("host", *[(F.col(m) * (1 - damping)).alias(m) for m in marks])
     mass = start
-    for _ in range(most_rounds):
-        sent = mass.join(ahead, mass["host"] == ahead["src"]).select(
-            F.col("dst").alias("host"), *[(F.col(m) * F.col("share")).alias(m) for m in marks[:2]],
-            *[zero.alias(m) for m in marks[2:]])
-        taken = mass.join(back, mass["host"] == back["dst"]).select(
-            F.col("src").alias("host"), *[zero.alias(m) for m in marks[:2]],
-            *[(F.col(m) * F.col("share")).alias(m) for m in marks[2:]])
-        own = start.select("host", *[(F.col(m) * (1 - damping) / damping).alias(m) for m in marks])
-        old = mass.select("host", *[zero.alias(m) for m in marks], *[F.col(m).alias(f"old_{m}") for m in marks])
-        new = own.unionByName(sent).unionByName(taken).unionByName(old, allowMissingColumns=True).groupBy("host").agg(
-            *[(F.sum(m) * damping).alias(m) for m in marks], *[F.sum(f"old_{m}").alias(f"old_{m}") for m in marks])
-        new = stored(new, "mass")
-        moved, total = new.agg(
-            F.sum(sum((F.abs(F.col(m) - F.col(f"old_{m}")) for m in marks), zero)),
-            F.sum(sum((F.col(m) for m in marks), zero))).first()
-        mass = new.select("host", *marks)
-        if not total or moved <= close * total:
-            break
+    for k in range(1, 1 + math.ceil(math.log(close) / math.log(damping))):
+        sent = mass.join(steps, mass["host"] == steps["src"]).select(
+            F.col("dst").alias("host"),
+            *[(F.col(m) * F.col("ahead" if m.startswith("ahead") else "back") * damping).alias(m) for m in marks])
+        mass = own.unionByName(sent).groupBy("host").agg(*[F.sum(m).alias(m) for m in marks])
+        if k % WRITE_EVERY == 0:
+            mass = stored(mass, "mass")
+    mass = stored(mass, "mass")
     part = lambda seed, whole: F.coalesce(F.try_divide(F.col(seed), F.col(whole)), zero)
     return mass.select("host", part("ahead_seed", "ahead_all").alias("trusted"),
                        part("back_seed", "back_all").alias("distrusted"))
