@@ -214,7 +214,7 @@ ORACLE: dict[str, str] = {
     # streams
     "stream_scan": "SELECT event_id, epoch_us(ts) // 1000 AS ts, user_id FROM events",
     "stream_resume": "SELECT event_id FROM events",
-    "stream_dau": f'WITH {SEEN} SELECT dt, mid, "offset" AS event_id FROM seen',
+    "stream_dau": f'WITH {SEEN} SELECT dt, mid, uid, "offset" AS event_id FROM seen',
     "sliding_window_count": """
         SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n
         FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(5 * i) AS start

@@ -81,7 +81,7 @@ def stream_dau(spark, folder):
     shape = jobs.first_seen_stream
     _replay(spark, source, jobs.append_to(out, by=("dt",)), shape, "update")
     now = ledger.read_latest(spark, out, shape(source.stream()).schema, ["dt", "mid"])
-    return now.select("dt", "mid", F.col("offset").alias("event_id"))
+    return now.select("dt", "mid", "uid", F.col("offset").alias("event_id"))
 
 
 @query
