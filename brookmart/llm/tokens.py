@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
+from array import array
 
 import numpy as np
 
@@ -26,6 +28,9 @@ _WITH_SPACE = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+
 #: Marks that end a run of letters are a token part of their own in both vocabularies.
 _MARKS = ".,;:!?"
 
+#: Letters below are one class for both vocabularies' patterns, in any context.
+_LATIN_END = "\u0130"
+
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
@@ -41,54 +46,82 @@ def encoder(path: str, spaces: bool) -> Encoder:
     return _encoders[path, spaces]
 
 
+def byte_characters() -> str:
+    """The character that stands for each byte in byte-level vocabularies.
+
+    Printable bytes of Latin-1 stand for themselves, the others for the characters
+    from 256 on, in order.
+    """
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return "".join(chr(b) if b in seen else chr(next(others)) for b in range(256))
+
+
 class Encoder:
     def __init__(self, path: str, spaces: bool):
         # tasks are the units of parallel work
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4")
+        self.spaces = spaces
         self.runs = _WITH_SPACE.findall if spaces else str.split
+        self.characters = byte_characters()
         self.known: dict[str, bytes] = {}
 
+    def _pack(self, ids: list[int]) -> bytes:
+        return array("H" if self.dtype.itemsize == 2 else "I", ids).tobytes()
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(x.ids, self.dtype).tobytes() for x in found]
+        return [self._pack(x.ids) for x in found]
+
+    def _word(self, word: str) -> bytes:
+        """A word of Latin letters is one unit of the merges: no splitting is needed."""
+        if not self.spaces:
+            word = unicodedata.normalize("NFC", word).lower()
+        units = word.encode().decode("latin-1").translate(self.characters)
+        return self._pack([t.id for t in self.model.tokenize(units)])
 
-    def _learn(self, runs: list[str]) -> None:
+    def _learn(self, runs: set[str]) -> None:
         """Remembers new runs; a word and the marks after it are encoded apart."""
-        known, parted, need = self.known, [], set()
+        known, parted, others = self.known, [], []
         for run in runs:
             word = run.rstrip(_MARKS)
-            if len(word) < len(run) and word[-1:].isalpha():
-                parted.append((run, word, run[len(word):]))
-                need.add(word)
-                need.add(run[len(word):])
+            if word.strip(" ").isalpha() and max(word) < _LATIN_END:
+                if len(word) == len(run):
+                    known[run] = self._word(run)
+                else:
+                    parted.append((run, word, run[len(word):]))
             else:
-                need.add(run)
-        missing = list(need.difference(known))
-        if missing:
-            known.update(zip(missing, self._encode(missing)))
-        for run, word, marks in parted:
-            known[run] = known[word] + known[marks]
+                others.append(run)
+        marks = {m for _, _, m in parted}.difference(known)
+        others += marks.difference(others)
+        if others:
+            known.update(zip(others, self._encode(others)))
+        for run, word, mark in parted:
+            if word not in known:
+                known[word] = self._word(word)
+            known[run] = known[word] + known[mark]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, packed; a null text is empty."""
-        out: list = []
-        for text in texts:
-            if not text:
-                out.append(b"")
-            elif _ODD.search(text):
-                out.append(self._encode([text])[0])
-            else:
-                runs = self.runs(text)
-                new = [r for r in set(runs).difference(self.known)]
-                if len(self.known) + len(new) > MEMORY:
-                    self.known = {}
-                    new = list(set(runs))
-                self._learn(new)
-                out.append(b"".join(map(self.known.__getitem__, runs)))
-                for r in new:
-                    if len(r) > LONGEST:
-                        self.known.pop(r, None)
+        out: list = [b""] * len(texts)
+        split = {}
+        for i, text in enumerate(texts):
+            if text and _ODD.search(text):
+                out[i] = self._encode([text])[0]
+            elif text:
+                split[i] = self.runs(text)
+        new = set().union(*split.values()).difference(self.known)
+        if len(self.known) + len(new) > MEMORY:
+            self.known = {}
+            new = set().union(*split.values())
+        self._learn(new)
+        for i, runs in split.items():
+            out[i] = b"".join(map(self.known.__getitem__, runs))
+        for run in new:
+            if len(run) > LONGEST:
+                self.known.pop(run, None)
         return out
