@@ -15,22 +15,32 @@ SHINGLE = 4
 SEED = 42
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """64 bits, each set if it is in over half the hashes of the word shingles.
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """64-bit hashes of the word shingles, in order.
 
     Words are runs of other bytes than a space and 0x09 to 0x0D, A-Z lower-cased;
-    fewer words than a shingle are one shingle, and without words all bits are 0.
+    fewer words than a shingle are one shingle, and no words give none.
     """
     words = text.lower().split()
     if not words:
-        return 0
+        return np.empty(0, "<u8")
     line = b" ".join(words)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 1
     ends = np.cumsum(size)
     starts = (ends - size).tolist()
     ends = (ends - 1)[shingle - 1:].tolist() or [len(line)]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts, ends)), "<u8", len(ends))
+    return np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts, ends)), "<u8", len(ends))
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """64 bits, each set if it is in over half the hashes of the word shingles.
+
+    Without words all bits are 0.
+    """
+    hashes = shingle_hashes(text, shingle)
+    if not len(hashes):
+        return 0
     counts = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 16):
         some = hashes[i:i + (1 << 16)]
