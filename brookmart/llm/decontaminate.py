@@ -141,10 +141,10 @@ def _range_of(ends: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _occurrences(terms: np.ndarray, ends: np.ndarray, places: np.ndarray,
-                 need: np.ndarray, offset: np.ndarray, slop: int):
+                 need: np.ndarray, offset: np.ndarray, slop: int, doc_starts: np.ndarray, doc_ends: np.ndarray):
     """Exact and near matches of windows in one segment.
 
-    ``need`` has a row of terms per window, rarest first, and ``offset`` each
+    Near are places within ``slop`` of the rarest term, in its document. ``need`` has a row of terms per window, rarest first, and ``offset`` each
     term's place in the window (-1: no term). Returns (window, start) arrays, and
     the (window, place) of the rarest term for near matches.
     """
@@ -166,6 +166,9 @@ def _occurrences(terms: np.ndarray, ends: np.ndarray, places: np.ndarray,
     exact_w, start = window, place - offset[window, 0]
     exact_w, start = exact_w[start >= 0], start[start >= 0]
     near_w, near_p = window, place
+    doc = np.searchsorted(doc_ends, place, "right")
+    near_a = np.maximum(place - slop, doc_starts[doc])
+    near_b = np.minimum(place + slop, doc_ends[doc] - 1)
     for k in range(1, width):
         sure = offset[exact_w, k] < 0
         want = (at[exact_w, k].astype(np.int64) << 32) | (start + offset[exact_w, k])
@@ -173,11 +176,11 @@ def _occurrences(terms: np.ndarray, ends: np.ndarray, places: np.ndarray,
         ok = sure | (postings[i] == want)
         exact_w, start = exact_w[ok], start[ok]
         sure = offset[near_w, k] < 0
-        low = (at[near_w, k].astype(np.int64) << 32) | np.maximum(near_p - slop, 0)
-        high = (at[near_w, k].astype(np.int64) << 32) | (near_p + slop)
+        low = (at[near_w, k].astype(np.int64) << 32) | near_a
+        high = (at[near_w, k].astype(np.int64) << 32) | near_b
         i = np.minimum(np.searchsorted(postings, low), len(postings) - 1)
         ok = sure | ((postings[i] >= low) & (postings[i] <= high))
-        near_w, near_p = near_w[ok], near_p[ok]
+        near_w, near_p, near_a, near_b = near_w[ok], near_p[ok], near_a[ok], near_b[ok]
     return (exact_w, start), (near_w, near_p)
 
 
@@ -194,7 +197,7 @@ def _search(sent, slop: int, all_rows: bool):
         doc_starts = np.concatenate([[0], doc_ends[:-1]])
         (win, start), (near_w, near_p) = _occurrences(
             np.frombuffer(row["terms"], "<u8"), np.frombuffer(row["term_ends"], "<i4"),
-            np.frombuffer(row["places"], "<i4"), need, offset, slop)
+            np.frombuffer(row["places"], "<i4"), need, offset, slop, doc_starts, doc_ends)
         end = start + (offset[win] >= 0).sum(axis=1)
         doc = np.searchsorted(doc_ends, start, "right")
         inside = end <= doc_ends[np.minimum(doc, len(doc_ends) - 1)]
@@ -208,11 +211,8 @@ def _search(sent, slop: int, all_rows: bool):
         near: dict[int, set[str]] = {}
         for d, w in set(zip(doc.tolist(), win.tolist())):
             found.setdefault(d, set()).update(items[w])
-        # a near match whose rarest term stands close to the edge of its document
-        # could have met words of the next one: those words must be in it too
         near_d = np.searchsorted(doc_ends, near_p, "right")
-        whole = (near_p - slop >= doc_starts[near_d]) & (near_p + slop < doc_ends[near_d]) if len(near_p) else near_p > 0
-        for d, w in set(zip(near_d[whole].tolist(), near_w[whole].tolist())):
+        for d, w in set(zip(near_d.tolist(), near_w.tolist())):
             near.setdefault(d, set()).update(items[w])
         for d, names in found.items():
             near.setdefault(d, set()).update(names)

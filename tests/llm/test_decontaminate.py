@@ -59,6 +59,18 @@ def test_near_but_not_exact(spark):
     assert (got[2].n_hit, got[2].n_near_items) == (0, 0)
 
 
+def test_near_at_the_edges_of_documents(spark):
+    item = [(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa")]
+    near = "alpha beta gamma delta epsilon zeta NEW eta theta iota kappa"
+    texts = [(1, near + " y" * 40), (2, "x " * 40 + near), (3, near + " y"), (4, near),
+             # halves in neighbouring documents are no match
+             (5, "x " * 40 + "alpha beta gamma delta epsilon"), (6, "zeta eta theta iota kappa" + " y" * 40)]
+    index = dc.build_index(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1))
+    got = dc.search(index, spark.createDataFrame(item, "item_id long, text string")).collect()
+    assert {r.doc_id: (r.n_hit, r.n_near_items) for r in got} == {
+        1: (0, 1), 2: (0, 1), 3: (0, 1), 4: (0, 1), 5: (0, 0), 6: (0, 0)}
+
+
 def test_without_items_or_documents(spark, odd, none):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     assert dc.search(dc.build_index(none), bench).count() == 0
