@@ -5,7 +5,8 @@ sample of the documents. The labels are what the patterns find there; each label
 span is also put in with other digits, letters and separators, so that the tagger
 learns forms the patterns do not have. All kinds hold a digit or an ``@``, so every
 such character of every text is covered by windows, which overlap by half. Each
-window is decoded by itself; of the spans of all windows of a text, which may
+window is decoded by itself, and parts of a span that windows cut off are put
+together; of the spans of all windows of a text, which may
 contradict each other, those with the greatest sum of scores that do not overlap
 are taken. Spans of the patterns always stay; the tagger's are added where they
 overlap none and have the shape of their kind.
@@ -21,6 +22,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -238,29 +240,104 @@ def has_shape(text: str, start: int, end: int, kind: str) -> bool:
     return span.count(".") == 3 and 4 <= n <= 12 if kind == "ip" else 7 <= n <= 15
 
 
-def tagged_spans(params: tagger.Params, texts: list[str]) -> list[list[tuple[int, int, str, float]]]:
-    """Reconciled spans of each text."""
+class Piece(NamedTuple):
+    """A span as far as windows show it: whether its beginning and end are cut off."""
+
+    start: int
+    end: int
+    kind: str
+    cut_left: bool
+    cut_right: bool
+    total: float
+    #: Probabilities of its last characters.
+    tail: np.ndarray
+
+
+def pieces_of(path: np.ndarray, sure: np.ndarray, start: int, length: int) -> list[Piece]:
+    """The spans of a decoded window of a text of this length."""
+    if not path.any():
+        return []
+    out, begin, path = [], 0, path.tolist()
+    while begin < WINDOW:
+        tag = path[begin]
+        # a span that goes on from the window before may begin with any of its tags
+        if not tag or (tag % 2 == 0 and (begin or not start)):
+            begin += 1
+            continue
+        inner, end = tag + tag % 2, begin + 1
+        while end < WINDOW and path[end] == inner:
+            end += 1
+        if start + end <= length:
+            p = sure[begin:end].astype(float)
+            out.append(Piece(start + begin, start + end, KINDS[(tag - 1) // 2], begin == 0 and start > 0,
+                             end == WINDOW and start + WINDOW < length, float(p.sum()), p))
+        begin = end
+    return out
+
+
+def _put_together(one: Piece, other: Piece) -> Piece | None:
+    """A piece that is cut off on the right, and one of the next window that meets it."""
+    tail = other.tail[max(0, one.start - other.start):]
+    start = other.end - len(tail)
+    if other.kind != one.kind or not len(tail) or start > one.end:
+        return None
+    shared = one.tail[len(one.tail) - (one.end - start):]
+    n = min(len(shared), len(tail))
+    tail = np.concatenate([(shared[:n] + tail[:n]) / 2, tail[n:]])
+    total = one.total - float(shared.sum()) + float(tail.sum())
+    return Piece(one.start, other.end, one.kind, one.cut_left, other.cut_right, total, tail)
+
+
+def stitched(pieces: dict[int, list[Piece]]) -> list[Piece]:
+    """Whole spans that several windows (by their start) show parts of."""
+    out, opened, last = [], [], None
+    for start in sorted(pieces):
+        if last != start - STRIDE:
+            opened = []
+        now: dict[tuple[int, str], Piece] = {}
+        for other in pieces[start]:
+            found = [x for x in (_put_together(one, other) for one in opened) if x]
+            out += [x for x in found if not x.cut_left and not x.cut_right]
+            for x in [*found, other]:
+                if x.cut_right:
+                    now.setdefault((x.start, x.kind), x)
+        opened, last = list(now.values()), start
+    return out
+
+
+def tagged_spans(params: tagger.Params, texts: list[str],
+                 least: float = SURE) -> list[list[tuple[int, int, str, float]]]:
+    """Reconciled spans of each text.
+
+    Spans cut off by a window are put together with their parts in the windows next
+    to it, which are decoded as well if they hold no anchor.
+    """
     at = [(i, s) for i, t in enumerate(texts) for s in windows(t)]
-    found: list[list] = [[] for _ in texts]
-    for k in range(0, len(at), 2048):
-        some = at[k:k + 2048]
-        paths, sure = tagger.decode(params, np.stack([_window(texts[i], s) for i, s in some]))
-        for (i, s), path, p in zip(some, paths, sure):
-            for begin in np.flatnonzero(path % 2).tolist():
-                end = begin + 1
-                while end < WINDOW and path[end] == path[begin] + 1:
-                    end += 1
-                # spans cut off by the window are whole in the next one
-                inside = (begin or not s) and (end < WINDOW or s + WINDOW >= len(texts[i]))
-                if inside and s + end <= len(texts[i]):
-                    found[i].append((s + begin, s + end, KINDS[(path[begin] - 1) // 2], float(p[begin:end].mean())))
-    return [reconcile(x) for x in found]
+    seen, pieces = set(at), [{} for _ in texts]
+    while at:
+        more = []
+        for k in range(0, len(at), 2048):
+            some = at[k:k + 2048]
+            paths, sure = tagger.decode(params, np.stack([_window(texts[i], s) for i, s in some]))
+            for (i, s), path, p in zip(some, paths, sure):
+                pieces[i][s] = pieces_of(path, p, s, len(texts[i]))
+                for x in pieces[i][s]:
+                    more += [(i, s - STRIDE)] * x.cut_left + [(i, s + STRIDE)] * x.cut_right
+        at = sorted(set(more) - seen)
+        seen.update(at)
+    out = []
+    for text, parts in zip(texts, pieces):
+        found = [x for some in parts.values() for x in some if not x.cut_left and not x.cut_right]
+        found += [x for x in stitched(parts)
+                  if x.total >= least * (x.end - x.start) and has_shape(text, x.start, x.end, x.kind)]
+        out.append(reconcile([(x.start, x.end, x.kind, x.total / (x.end - x.start)) for x in found]))
+    return out
 
 
 def spans_of(params: tagger.Params | None, texts: list[str], least: float = SURE):
     """(base spans, all spans) of each text."""
     base = [base_spans(t) for t in texts]
-    added = tagged_spans(params, texts) if params else [[] for _ in texts]
+    added = tagged_spans(params, texts, least) if params else [[] for _ in texts]
     out = []
     for text, own, more in zip(texts, base, added):
         new = [(s, e, k) for s, e, k, p in more if p >= least and has_shape(text, s, e, k)

@@ -114,3 +114,21 @@ def test_whole_query(docs, odd, none):
 def test_reconciled_spans_do_not_overlap():
     got = pii.reconcile([(0, 5, "ip", 0.9), (3, 12, "card", 0.95), (12, 14, "ip", 0.5), (12, 14, "ip", 0.7)])
     assert got == [(3, 12, "card", 0.95), (12, 14, "ip", 0.7)]
+
+
+@pytest.mark.parametrize("size", [10, 32, 60, 120])
+def test_spans_are_found_wherever_they_stand(monkeypatch, size):
+    """Letters and @ are tagged as an address, as a window shows them; its first tag is a beginning or not."""
+    def decode(params, x):
+        inside = np.isin(x, [1, pii._SYMBOLS["@"]])
+        before = np.pad(inside, ((0, 0), (1, 0)))[:, :-1]
+        path = np.where(inside, np.where(before, 2, 1), 0)
+        path[::2, 0] = np.where(inside[::2, 0], 2, 0)
+        return path, np.full(x.shape, 0.95)
+    monkeypatch.setattr(pii.tagger, "decode", decode)
+    for offset in range(100):
+        for at in (1, size // 2, size - 2):
+            span = "a" * at + "@" + "b" * (size - at - 1)
+            texts = ["." * offset + span + "." * n for n in (0, 7, 200)]
+            for (got,) in pii.tagged_spans({}, texts):
+                assert got[:3] == (offset, offset + size, "email") and abs(got[3] - 0.95) < 1e-6
