@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brookmart.llm import decontaminate, jaccard, packing, rules, secrets
+from brookmart.llm import decontaminate, neardup, packing, rules, secrets
 from brookmart.llm.common import stored, table
 from brookmart.llm.tokens import vocabulary
 
@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies: five-word shingles, similarity 0.8 or more."""
-    return jaccard.deduplicate(docs).select(*COLUMNS)
+    """Keeps one document of each group of fingerprints linked at four bits or fewer."""
+    return neardup.deduplicate(docs).select(*COLUMNS)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
