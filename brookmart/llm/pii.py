@@ -260,8 +260,9 @@ def pieces_of(path: np.ndarray, sure: np.ndarray, start: int, length: int) -> li
     out, begin, path = [], 0, path.tolist()
     while begin < WINDOW:
         tag = path[begin]
-        # a span that goes on from the window before may begin with any of its tags
-        if not tag or (tag % 2 == 0 and (begin or not start)):
+        # at a window's left edge a span may begin with any of its tags: it goes on from
+        # the window before, or stands at the very start of the text
+        if not tag or (tag % 2 == 0 and begin):
             begin += 1
             continue
         inner, end = tag + tag % 2, begin + 1
