@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from brookmart.llm import collocations, tiledcosine
 from brookmart.llm.rules import BOILERPLATE, LONG_LINE, MAX_LOST, MAX_REPEAT_PERCENT, MIN_WORDS, WINDOW
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -18,6 +19,42 @@ def _without(line: str, some: str) -> str:
 _SPACES = "(length(line) - length(translate(line, ' ' || chr(9), '')))"
 _BOILER = " OR ".join(f"contains(lower(line), '{p}')" for p in BOILERPLATE)
 
+
+def collocations_sql(support: int = collocations.SUPPORT, top: int = collocations.TOP) -> str:
+    return rf"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^ \x09]+') AS w
+  FROM (SELECT coalesce(lang, '{collocations.NO_LANG}') AS lang,
+               translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents)),
+tot AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM p GROUP BY lang),
+g AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM p, unnest(range(1, {collocations.LONGEST} + 1)) AS s(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS a FROM g GROUP BY ALL HAVING count(*) >= {support}),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS most
+  FROM (SELECT lang, a, w, m, unnest(range(1, k - m + 2)) AS i
+        FROM (SELECT lang, a, w, k, unnest(range(2, k)) AS m FROM c WHERE k > 2)) GROUP BY ALL),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, c.j, l.a AS l, r.a AS r, n, (1000 * c.a * n) // (l.a * r.a) AS score
+  FROM (SELECT c.*, unnest(range(1, k)) AS j FROM c LEFT JOIN inside USING (lang, phrase)
+        WHERE most IS NULL OR most < c.a) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[j + 1:], ' ')
+  JOIN tot ON tot.lang = c.lang),
+least AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS nth FROM cuts),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM least WHERE nth = 1)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+  score::BIGINT AS score
+FROM ranked WHERE rank <= {top}
+"""
+
+
 ORACLE: dict[str, str] = {
     "op2_quality_rules": rf"""
 WITH d AS (
@@ -82,5 +119,23 @@ its AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN pos USING (k) LEFT JOIN its USING (k)
+""",
+    "op11_son_collocations": collocations_sql(),
+    "op12_tiled_cosine": f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND list_count(embedding) = len(embedding)
+    AND isfinite(list_min(embedding)) AND isfinite(list_max(embedding))
+    AND (list_min(embedding) <> 0 OR list_max(embedding) <> 0)),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= {tiledcosine.THRESHOLD}),
+reach AS (SELECT a, b FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a),
+c AS (SELECT a, min(b) AS least FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(c.least, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(c.least, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id
 """,
 }

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from brookmart.llm import (
-    decontaminate, linkgraph, lm, neardup, packing, pii, records, rules, secrets, warc,
+    collocations, decontaminate, linkgraph, lm, neardup, packing, pii, records, rules, secrets, tiledcosine, warc,
+    whitening,
 )
 from brookmart.llm.common import table
 from brookmart.llm.tokens import vocabulary
@@ -55,6 +56,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.search(index, table(spark, sf_dir, "benchmark")).drop("items", "n_near_items")
 
 
+def op11_son_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_tiled_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiledcosine.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op13_multiplicity_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).drop("deviation_wide", "n_rows")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_token_records": op3_token_records,
@@ -66,4 +79,7 @@ QUERIES = {
     "op9_warc_fixity": op9_warc_fixity,
     "op10_decontaminate": op10_decontaminate,
     "op2_quality_rules": op2_quality_rules,
+    "op11_son_collocations": op11_son_collocations,
+    "op12_tiled_cosine": op12_tiled_cosine,
+    "op13_multiplicity_whitening": op13_multiplicity_whitening,
 }
