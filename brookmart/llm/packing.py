@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brookmart.llm.common import column, crc32_ids, partitions_for, stored
-from brookmart.llm.tokens import encoder
+from brookmart.llm.tokens import TEXTS, encoder
 
 CAPACITY = 1024
 END_ID = 2
@@ -56,12 +56,12 @@ def _cut(vocabulary: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = TaskContext.get().partitionId() << 40
         tokens = encoder(vocabulary, spaces=True)
-        end = np.asarray([end_id], tokens.dtype).tobytes()
+        end = tokens.dtype.type(end_id)
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                some, rows = batch.slice(i, 256), []
-                for key, packed in zip(some.column(0).to_pylist(), tokens.encode(some.column(1).to_pylist())):
-                    ids = np.frombuffer(packed + end, tokens.dtype)
+            for i in range(0, batch.num_rows, TEXTS):
+                some, rows = batch.slice(i, TEXTS), []
+                for key, ids in zip(some.column(0).to_pylist(), tokens.encode(some.column(1))):
+                    ids = np.append(ids, end)
                     cuts = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)]
                     for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
                         rows.append((uid, key, n, a, b - a, ids[a:b].tobytes(), crc32_ids(ids[a:b])))

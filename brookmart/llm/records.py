@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brookmart.llm.common import column, crc32_ids, folder, stored
-from brookmart.llm.tokens import encoder
+from brookmart.llm.tokens import TEXTS, encoder
 
 END_ID = 2
 _INDEX = "part int, file string, doc_id long, at long, offset long, length long, n_tokens long"
@@ -103,16 +103,16 @@ def _write(target: str, vocabulary: str, end_id: int):
         end = np.asarray([end_id], tokens.dtype).tobytes()
         out, offset, at = None, 0, 0
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                some = batch.slice(i, 256)
+            for i in range(0, batch.num_rows, TEXTS):
+                some = batch.slice(i, TEXTS)
                 rows = []
-                for key, ids in zip(some.column(0).to_pylist(), tokens.encode(some.column(1).to_pylist())):
-                    data = frame(pack(key, ids + end, tokens.dtype.itemsize))
+                for key, ids in zip(some.column(0).to_pylist(), tokens.encode(some.column(1))):
+                    data = frame(pack(key, ids.tobytes() + end, tokens.dtype.itemsize))
                     if out is None:
                         system.create_dir(root, recursive=True)
                         out = system.open_output_stream(draft)
                     out.write(data)
-                    rows.append((part, name, key, at, offset, len(data), len(ids) // tokens.dtype.itemsize + 1))
+                    rows.append((part, name, key, at, offset, len(data), len(ids) + 1))
                     offset, at = offset + len(data), at + 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)

@@ -11,25 +11,25 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
-from array import array
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 #: Entries of a worker's memory; beyond it starts anew.
 MEMORY = 400_000
-#: Longer runs are encoded each time.
-LONGEST = 48
+#: Texts that are encoded at a time: a word they share is looked up once.
+TEXTS = 1000
 
 _ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]|<\\|")
-_SPACE = " \t\n\r\x0b\x0c"
-#: White space belongs to what follows, as far as it is one space; else it stands alone.
-_WITH_SPACE = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_IS_SPACE = np.isin(np.arange(256), [*b" \t\n\r\x0b\x0c"])
 
 #: Marks that end a run of letters are a token part of their own in both vocabularies.
 _MARKS = ".,;:!?"
 
-#: Letters below are one class for both vocabularies' patterns, in any context.
-_LATIN_END = "\u0130"
+#: Letters that are one class for both vocabularies' patterns, in any context.
+_LATIN = "".join(c for c in map(chr, range(0x130)) if c.isalpha())
+_WORD = re.compile(f"( ?[{_LATIN}]+)([{_MARKS}]*)")
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
@@ -66,62 +66,120 @@ class Encoder:
         self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4")
         self.spaces = spaces
-        self.runs = _WITH_SPACE.findall if spaces else str.split
         self.characters = byte_characters()
-        self.known: dict[str, bytes] = {}
+        self._forget()
 
-    def _pack(self, ids: list[int]) -> bytes:
-        return array("H" if self.dtype.itemsize == 2 else "I", ids).tobytes()
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [self._pack(x.ids) for x in found]
-
-    def _word(self, word: str) -> bytes:
-        """A word of Latin letters is one unit of the merges: no splitting is needed."""
+    def _words(self, words: list[str]) -> list[list[int]]:
+        """Words of Latin letters, each one unit of the merges: no splitting is needed."""
+        lines = "\n".join(words)
         if not self.spaces:
-            word = unicodedata.normalize("NFC", word).lower()
-        units = word.encode().decode("latin-1").translate(self.characters)
-        return self._pack([t.id for t in self.model.tokenize(units)])
-
-    def _learn(self, runs: set[str]) -> None:
-        """Remembers new runs; a word and the marks after it are encoded apart."""
-        known, parted, others = self.known, [], []
+            lines = unicodedata.normalize("NFC", lines).lower()
+        units = lines.encode().decode("latin-1").translate(self.characters).split(self.characters[10])
+        tokenize = self.model.tokenize
+        return [[t.id for t in tokenize(unit)] for unit in units] if words else []
+
+    def _learn(self, runs: list[str]) -> list[list[int]]:
+        """The ids of runs; a word and the marks after it are encoded apart."""
+        found, plain, parted, others, match = {}, [], [], [], _WORD.fullmatch
         for run in runs:
-            word = run.rstrip(_MARKS)
-            if word.strip(" ").isalpha() and max(word) < _LATIN_END:
-                if len(word) == len(run):
-                    known[run] = self._word(run)
+            if some := match(run):
+                word, mark = some.groups()
+                if mark:
+                    parted.append((run, word, mark))
                 else:
-                    parted.append((run, word, run[len(word):]))
-            else:
+                    plain.append(run)
+            elif self.spaces or not run.isspace():
                 others.append(run)
-        marks = {m for _, _, m in parted}.difference(known)
-        others += marks.difference(others)
+            else:
+                found[run] = []
+        plain = list(dict.fromkeys([*plain, *(w for _, w, _ in parted)]))
+        others = list(dict.fromkeys([*others, *(m for _, _, m in parted)]))
+        found.update(zip(plain, self._words(plain)))
         if others:
-            known.update(zip(others, self._encode(others)))
+            found.update(zip(others, self._encode(others)))
         for run, word, mark in parted:
-            if word not in known:
-                known[word] = self._word(word)
-            known[run] = known[word] + known[mark]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text, packed; a null text is empty."""
-        out: list = [b""] * len(texts)
-        split = {}
-        for i, text in enumerate(texts):
-            if text and _ODD.search(text):
-                out[i] = self._encode([text])[0]
-            elif text:
-                split[i] = self.runs(text)
-        new = set().union(*split.values()).difference(self.known)
-        if len(self.known) + len(new) > MEMORY:
-            self.known = {}
-            new = set().union(*split.values())
-        self._learn(new)
-        for i, runs in split.items():
-            out[i] = b"".join(map(self.known.__getitem__, runs))
-        for run in new:
-            if len(run) > LONGEST:
-                self.known.pop(run, None)
+            found[run] = found[word] + found[mark]
+        return list(map(found.__getitem__, runs))
+
+    def _slots(self, runs: list[str]) -> np.ndarray:
+        """Where the ids of runs are remembered."""
+        known = self.known
+        new = [r for r in runs if r not in known]
+        if new:
+            if len(known) + len(new) > MEMORY:
+                self._forget()
+                known, new = self.known, runs
+            self._remember(new, self._learn(new))
+        return np.fromiter(map(known.__getitem__, runs), np.int64, len(runs))
+
+    def _forget(self) -> None:
+        #: number of each known run; its ids are flat[starts[n]:starts[n + 1]]
+        self.known: dict[str, int] = {}
+        self.starts, self.flat = np.zeros(1, np.int64), np.empty(0, self.dtype)
+
+    def _remember(self, runs: list[str], ids: list[list[int]]) -> None:
+        self.known.update(zip(runs, range(len(self.known), len(self.known) + len(runs))))
+        ends = self.starts[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        flat = np.fromiter(chain.from_iterable(ids), self.dtype, ends[-1] - self.starts[-1])
+        self.starts, self.flat = np.concatenate([self.starts, ends]), np.concatenate([self.flat, flat])
+
+    def encode(self, texts: pa.StringArray | list[str | None]) -> list[np.ndarray]:
+        """The ids of each text; a null text is empty."""
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts.cast(pa.string())
+        strings = texts.to_pylist()
+        odd = [i for i, t in enumerate(strings) if t and is_odd(t)]
+        if odd or texts.null_count:
+            plain = [t or "" for t in strings]
+            for i in odd:
+                plain[i] = ""
+            texts = pa.array(plain, pa.string())
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+        data = texts.buffers()[2]
+        raw = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data else np.empty(0, np.uint8)
+        ends = (offsets - offsets[0]).astype(np.int64)
+        edges = cuts(raw, ends, self.spaces)
+        out = [np.empty(0, self.dtype)] * len(strings)
+        if len(raw):
+            runs = pa.StringArray.from_buffers(
+                len(edges), pa.py_buffer(np.append(edges, len(raw)).astype(np.int32)), pa.py_buffer(raw.tobytes()))
+            coded = runs.dictionary_encode()
+            slots = self._slots(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+            first, sizes = self.starts[slots], self.starts[slots + 1] - self.starts[slots]
+            after = np.concatenate([[0], np.cumsum(sizes)])
+            ids = self.flat[np.repeat(first - after[:-1], sizes) + np.arange(after[-1])]
+            at = after[np.searchsorted(edges, ends)]
+            out = [ids[a:b] for a, b in zip(at.tolist(), at[1:].tolist())]
+        if odd:
+            for i, found in zip(odd, self._encode([strings[i] for i in odd])):
+                out[i] = np.array(found, self.dtype)
         return out
+
+
+def is_odd(text: str) -> bool:
+    if text.isascii():
+        return "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f")
+    return _ODD.search(text) is not None
+
+
+def cuts(raw: np.ndarray, ends: np.ndarray, spaces: bool) -> np.ndarray:
+    """Where the runs of some texts begin; ``ends`` holds where texts begin and end.
+
+    Runs of white space and of other characters take turns. With ``spaces``, what
+    comes before a word is cut once more before its last character, which belongs to
+    the word if it is a space.
+    """
+    white = _IS_SPACE[raw]
+    new = np.zeros(len(raw) + 1, bool)
+    new[1:-1] = white[1:] != white[:-1]
+    texts = ends[:-1][np.diff(ends) > 0]
+    if spaces:
+        words = np.flatnonzero(new[:-1] & ~white)
+        words = words[~np.isin(words, texts, assume_unique=True)]
+        words = words[white[words - 1]]
+        new[words - 1] = True
+        new[words[raw[words - 1] == 32]] = False
+    new[texts] = True
+    return np.flatnonzero(new[:-1])
