@@ -12,7 +12,9 @@ well above one however large the corpus is.
    overall reaches it in one shard at least. A shard is as large as it must be: its
    blocks count their own phrases, and one grouping per level adds them up, pairs
    first, then phrases of three words and more whose pairs are all frequent there.
-3. The union of the shards' phrases is counted in all blocks, exactly, by text.
+3. The union of the shards' phrases is counted in all blocks, exactly, by text. Left
+   out are phrases that cannot reach the support: by their counts where they are
+   frequent, and by the most that shards in which they are not can add.
 
 Between the passes go bit maps of at most ``MAP_BITS`` bits, over hashes: a bit too
 many lets a phrase be counted that is dropped afterwards, and none is ever missing.
@@ -41,7 +43,7 @@ from brookmart.llm.common import column, stored
 SUPPORT = 100
 LONGEST = 5
 TOP = 2000
-SHARDS = 16
+SHARDS = 4
 #: Bytes of text in a block, as far as texts are shorter.
 BLOCK_BYTES = 6_000_000
 #: Bit maps have at most so many bits (16 MB), and 16 for each entry up to there.
@@ -210,17 +212,18 @@ class Block:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], frequent=None):
+    """(row, block) of each block that has words."""
     for batch in batches:
         for i in range(batch.num_rows):
-            row = {n: batch.column(k)[i].as_py() for k, n in enumerate(("shard", "lang", "n_words", "vocab", "ids"))}
+            row = {n: batch.column(k)[i].as_py() for k, n in enumerate(batch.schema.names)}
             if row["n_words"]:
-                yield row["shard"], row["lang"], Block(row["lang"], row["vocab"], row["ids"], frequent)
+                yield row, Block(row["lang"], row.pop("vocab"), row.pop("ids"), frequent)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, lang, block in _blocks(batches):
+    for row, block in _blocks(batches):
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(block.vocab), pa.string()), pa.array(block.vocab, pa.binary()),
+            [pa.array([row["lang"]] * len(block.vocab), pa.string()), pa.array(block.vocab, pa.binary()),
              pa.array(block.counts())], names=["lang", "word", "n"])
 
 
@@ -228,19 +231,20 @@ def _mine(frequent, pairs, longest: int):
     """Counts of a block's pairs, or with ``pairs`` of its longer phrases."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if pairs is None else pairs.value
-        for shard, lang, block in _blocks(batches, frequent.value):
-            for k, _, h in block.phrases(2 if pairs is None else longest, bits, shard):
+        for row, block in _blocks(batches, frequent.value):
+            for k, _, h in block.phrases(2 if pairs is None else longest, bits, row["shard"]):
                 if (k == 2) == (pairs is None) and len(h):
                     found, n = np.unique(h, return_counts=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(n), shard, np.int32)), pa.array([lang] * len(n), pa.string()),
-                         pa.array(found.view(np.int64)), pa.array(n)], names=["shard", "lang", "h", "n"])
+                        [pa.array(np.full(len(n), row["shard"], np.int32)), pa.array(found.view(np.int64)), pa.array(n),
+                         pa.array(np.full(len(n), row["least"])), pa.array(np.full(len(n), row["short"]))],
+                        names=["shard", "h", "n", "least", "short"])
     return run
 
 
 def _count(frequent, wanted, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, lang, block in _blocks(batches, frequent.value):
+        for row, block in _blocks(batches, frequent.value):
             for k, at, h in block.phrases(longest, wanted.value):
                 some = has(wanted.value, h)
                 at, h = at[some], h[some]
@@ -248,7 +252,7 @@ def _count(frequent, wanted, longest: int):
                     continue
                 _, first, n = np.unique(h, return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(n), pa.string()),
+                    [pa.array([row["lang"]] * len(n), pa.string()),
                      pa.array([block.text(i, k) for i in at[first].tolist()], pa.binary()), pa.array(n)],
                     names=["lang", "phrase", "n"])
     return run
@@ -271,22 +275,27 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     words = known(blocks.mapInArrow(_count_words, "lang string, word binary, n long"), "word")
     frequent = spark.sparkContext.broadcast(
         bit_map(words.select(F.xxhash64("lang", "phrase").alias("h"), F.lit(0).alias("salt"))))
-    # a shard's share of the support, rounded up
+    # a shard's share of the support, rounded up; ``short`` is what is missing to the
+    # support if a phrase comes just below it everywhere
     shares = blocks.groupBy("shard", "lang").agg(F.sum("n_words").alias("w")).join(totals, "lang").select(
-        "shard", "lang", F.ceil(support * F.col("w").cast("decimal(38,0)") / F.col("n")).alias("least"))
-    shares = stored(shares, "shares")
+        "shard", "lang", F.greatest(
+            F.lit(1).cast("long"), F.ceil(support * F.col("w").cast("decimal(38,0)") / F.col("n")).cast("long")).alias("least"))
+    short = shares.groupBy("lang").agg((support - F.sum(F.col("least") - 1)).alias("short"))
+    shares = stored(shares.join(short, "lang"), "shares")
+    in_shards = blocks.join(shares, ["shard", "lang"]).select(*blocks.columns, "least", "short")
 
     def mined(pairs, name: str) -> DataFrame:
-        counts = blocks.mapInArrow(_mine(frequent, pairs, longest), "shard int, lang string, h long, n long")
-        sums = counts.groupBy("shard", "lang", "h").agg(F.sum("n").alias("n"))
-        return stored(sums.join(shares, ["shard", "lang"]).filter("n >= least").select(
-            "h", F.col("shard").alias("salt")), name)
+        counts = in_shards.mapInArrow(_mine(frequent, pairs, longest), "shard int, h long, n long, least long, short long")
+        sums = counts.groupBy("shard", "h").agg(*[f(c).alias(c) for f, c in (
+            (F.sum, "n"), (F.first, "least"), (F.first, "short"))])
+        return stored(sums.filter("n >= least"), name)
 
     pairs = mined(None, "pairs")
-    in_shard = spark.sparkContext.broadcast(bit_map(pairs))
-    candidates = pairs.unionByName(mined(in_shard, "longer")).select("h").distinct()
-    wanted = spark.sparkContext.broadcast(
-        bit_map(stored(candidates.withColumn("salt", F.lit(0)), "candidates")))
+    in_shard = spark.sparkContext.broadcast(bit_map(pairs.select("h", F.col("shard").alias("salt"))))
+    candidates = pairs.unionByName(mined(in_shard, "longer")).groupBy("h").agg(
+        F.sum(F.col("n") - F.col("least") + 1).alias("over"), F.first("short").alias("short"))
+    candidates = stored(candidates.filter("over >= short").select("h", F.lit(0).alias("salt")), "candidates")
+    wanted = spark.sparkContext.broadcast(bit_map(candidates))
     return totals, words, known(
         blocks.mapInArrow(_count(frequent, wanted, longest), "lang string, phrase binary, n long"), "phrase")
 
