@@ -34,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ LONGEST = 5
 TOP = 2000
 SHARDS = 4
 #: Bytes of text in a block, as far as texts are shorter.
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 3_000_000
 #: Bit maps have at most so many bits (16 MB), and 16 for each entry up to there.
 MAP_BITS = 1 << 27
 SLICE_BITS = 1 << 20
@@ -81,14 +82,15 @@ def _tokenize(shards: int, block_bytes: int):
                         ("vocab", pa.binary()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = TaskContext.get().partitionId() % shards
+        shard, pack = TaskContext.get().partitionId() % shards, zstandard.ZstdCompressor(level=1)
         held: dict[str, list[bytes]] = {}
         size: dict[str, int] = {}
 
         def block(lang: str) -> pa.RecordBatch:
             vocab, ids = numbers(b"\n".join(held.pop(lang)))
             del size[lang]
-            row = (shard, lang, int(np.count_nonzero(ids)), b" ".join(vocab), ids.astype("<u4").tobytes())
+            packed = [pack.compress(x) for x in (b" ".join(vocab), ids.astype("<u4").tobytes())]
+            row = (shard, lang, int(np.count_nonzero(ids)), *packed)
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, schema.types)], schema=schema)
 
         for batch in batches:
@@ -175,8 +177,9 @@ class Block:
     """A stored block: words, numbers, and per place the word's hash."""
 
     def __init__(self, lang: str, vocab: bytes, ids: bytes, frequent: np.ndarray | None = None):
-        self.vocab = vocab.split(b" ") if vocab else []
-        self.ids = np.frombuffer(ids, "<u4").astype(np.int64)
+        unpack = zstandard.ZstdDecompressor().decompress
+        self.vocab = unpack(vocab).split(b" ")
+        self.ids = np.frombuffer(unpack(ids), "<u4")
         if frequent is None:
             return
         # the same number as Spark's xxhash64(lang, word)
@@ -194,7 +197,7 @@ class Block:
 
         With ``pairs``, longer ones are given only if the map has all their pairs.
         """
-        at = np.flatnonzero(self.good[:-1] & self.good[1:])
+        at = np.flatnonzero(self.good[:-1] & self.good[1:]).astype(np.int32)
         h = longer(self.words[at], self.words[at + 1])
         yield 2, at, h
         two = np.zeros(len(self.ids) + 1, bool)
