@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Entries of a worker's memory; beyond it starts anew.
-MEMORY = 400_000
+MEMORY = 250_000
 #: Texts that are encoded at a time: a word they share is looked up once.
 TEXTS = 1000
 
