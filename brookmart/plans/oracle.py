@@ -227,6 +227,7 @@ ORACLE: dict[str, str] = {
                           "THEN n_name END AS province_name FROM c",
     "sink_exactly_once": f"WITH {WIDE} SELECT tm_id, tm_name, {_amount()} AS amount FROM wide GROUP BY ALL",
     "layers_brand_sum": f"WITH {WIDE} SELECT tm_id, tm_name, {_amount()} AS amount FROM wide GROUP BY ALL",
+    "layers_replay": f"WITH {WIDE} SELECT tm_id, tm_name, {_amount()} AS amount FROM wide GROUP BY ALL",
     "fan_out": """
         SELECT 'user_status' AS sink, count(DISTINCT o_custkey) AS n FROM orders
         UNION ALL SELECT 'order_info', count(*) FROM orders

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brookmart.functions.clock import DATE_TIME
@@ -19,7 +20,7 @@ from brookmart.plans import warehouse
 from brookmart.plans.queries import query
 from brookmart.plans.replay import CHUNKS, Replay, Span, by_time, span
 from brookmart.session import work_dir
-from brookmart.sinks import ledger
+from brookmart.sinks import buckets, ledger
 from brookmart.sources import changes, shop
 from brookmart.streaming import jobs
 from brookmart.streaming.layers import DIMENSIONS, Layers
@@ -99,27 +100,45 @@ def sliding_window_count(spark, folder):
 
 # -- order and line streams ------------------------------------------------
 
-def _pair_sources(spark: SparkSession, folder: str) -> tuple[Replay, Replay]:
-    """Orders by creation time, and lines up to 89 seconds later."""
-    orders = shop.orders(spark, folder).select(F.col("id").alias("order_id"), F.col("ts").alias("order_ts"))
+#: All orders are replayed within this time, so that chunks are minutes long and
+#: lines come in a later chunk than their order.
+REPLAY_SECONDS = 2400
+
+
+def _pair_sources(spark: SparkSession, folder: str, again: tuple[int, ...] = (0,)) -> tuple[Replay, Replay]:
+    """Orders by creation time, and lines up to 89 seconds later; both sent so many
+    seconds after the first time."""
+    lo, hi = _order_span(spark, folder)
+    start = F.lit(shop.DAY).cast("timestamp")
+    place = F.call_function("div", (F.unix_seconds("ts") - F.lit(lo)) * REPLAY_SECONDS, F.lit(hi - lo + 1))
+    orders = shop.orders(spark, folder).select(
+        F.col("id").alias("order_id"), (start + F.make_dt_interval(secs=place)).alias("order_ts"))
     lines = shop.order_details(spark, folder, shop.large_orders(spark, folder)).select(F.col("id").alias("order_detail_id"), "order_id")
     delay = F.make_dt_interval(secs=F.pmod("order_detail_id", F.lit(90)))
     lines = lines.join(orders, "order_id").select(
         "order_detail_id", "order_id", (F.col("order_ts") + delay).alias("detail_ts"))
-    within = _order_span(spark, folder)
-    return (Replay(spark, by_time(orders, F.col("order_ts"), within), "orders"),
-            Replay(spark, by_time(lines, F.col("detail_ts"), within), "lines"))
+    first = spark.sql("select unix_seconds(timestamp'%s 00:00:00')" % shop.DAY).scalar()
+    within = (first, first + REPLAY_SECONDS + max(again) - 1)
+
+    def source(rows: DataFrame, at: str, name: str) -> Replay:
+        later = F.explode(F.array(*[F.make_dt_interval(secs=F.lit(s)) for s in again]))
+        rows = rows.withColumn("_later", later).withColumn(at, F.col(at) + F.col("_later")).drop("_later")
+        return Replay(spark, by_time(rows, F.col(at), within), name)
+
+    return source(orders, "order_ts", "orders"), source(lines, "detail_ts", "lines")
 
 
-def _pairs(spark: SparkSession, folder: str, times: int,
-           shape: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
-    orders, lines = _pair_sources(spark, folder)
+def _pairs(spark: SparkSession, sources: tuple[Replay, Replay], times: int,
+           shape: Callable[[DataFrame, DataFrame], DataFrame],
+           sink: Callable[[str], Handler] = jobs.append_to) -> DataFrame:
+    orders, lines = sources
     out, checkpoint = work_dir(spark, "pairs"), work_dir(spark, "checkpoint")
+    handler = sink(out)
     for i in range(CHUNKS):
         orders.feed(i, times)
         lines.feed(i, times)
-        drain(shape(orders.stream(), lines.stream()).select("order_id", "order_detail_id"),
-              jobs.append_to(out), checkpoint)
+        drain(shape(orders.stream(), lines.stream()).select("order_id", "order_detail_id", "detail_ts"),
+              handler, checkpoint)
     schema = shape(orders.stream(), lines.stream()).select("order_id", "order_detail_id").schema
     return ledger.read(spark, out, schema).select(
         "order_id", F.col("order_detail_id").alias("detail_id"))
@@ -127,19 +146,23 @@ def _pairs(spark: SparkSession, folder: str, times: int,
 
 @query
 def stream_interval_join(spark, folder):
-    return _pairs(spark, folder, 1, jobs.interval_join)
+    """A line may come in a later chunk than its order, which the join's state keeps."""
+    return _pairs(spark, _pair_sources(spark, folder), 1, jobs.interval_join)
 
 
 @query
 def stream_pair_dedup(spark, folder):
-    """Every chunk is sent twice; both sides are made distinct before the join,
-    so copies cannot multiply."""
+    """Orders and lines are sent again 6 and 12 minutes later, and every chunk twice.
+    The third time comes more than 10 minutes after the first, and in another chunk;
+    it is known by the second, which renewed the pair's time."""
     def shape(orders, lines):
-        return jobs.interval_join(jobs.distinct_stream(orders, ["order_id"], "order_ts"),
-                                  jobs.distinct_stream(lines, ["order_detail_id"], "detail_ts"),
+        return jobs.interval_join(jobs.distinct_stream(orders, ["order_id", "order_ts"], "order_ts"),
+                                  jobs.distinct_stream(lines, ["order_detail_id", "detail_ts"], "detail_ts"),
                                   late=None)
 
-    return _pairs(spark, folder, 2, shape)
+    seen = work_dir(spark, "seen")
+    return _pairs(spark, _pair_sources(spark, folder, (0, 360, 720)), 2, shape, lambda out: jobs.distinct_handler(
+        seen, ["order_id", "order_detail_id"], "detail_ts", jobs.append_to(out)))
 
 
 @query
@@ -179,49 +202,110 @@ def stream_dim_refresh(spark, folder):
     provinces = shop.provinces(spark, folder)
     table, out = work_dir(spark, "provinces"), work_dir(spark, "refreshed")
     late = F.col("id").cast("int") > 12
-    ledger.upsert(provinces.where(~late), table, 0, ["id"])
+    buckets.upsert(provinces.where(~late), table, 0, ["id"])
 
     def handler(batch, batch_id):
-        now = ledger.read_latest(batch.sparkSession, table, provinces.schema, ["id"])
+        now = buckets.lookup(batch, ["province_id"], table, provinces.schema, ["id"])
         ledger.write_batch(with_province(batch, now), out, batch_id)
 
     checkpoint = _replay(spark, source, handler, chunks=range(2))
-    ledger.upsert(provinces.where(late), table, 1, ["id"])
+    buckets.upsert(provinces.where(late), table, 1, ["id"])
     _replay(spark, source, handler, chunks=range(2, CHUNKS), checkpoint=checkpoint)
     return spark.read.parquet(out).select("id", "province_name")
 
 
 # -- sinks -----------------------------------------------------------------
 
+class Failure(RuntimeError):
+    """Raised on purpose, once at each place."""
+
+
+def _until_done(drained: Callable[[], None]) -> int:
+    """Start again from the checkpoint after each failure; how many there were."""
+    failures = 0
+    while True:
+        try:
+            drained()
+            return failures
+        except StreamingQueryException as e:
+            if Failure.__name__ not in str(e):
+                raise
+            failures += 1
+
+
 @query
 def sink_exactly_once(spark, folder):
-    """Brand sums per batch; the third batch fails after its write and runs again."""
+    """Brand sums per batch; the handler fails in the third batch after its write, and
+    the query is started again on its checkpoint."""
     wide = warehouse.wide(spark, folder, people=False).select(
         F.to_timestamp("create_time").alias("ts"), "tm_id", "tm_name", "final_detail_amount")
     source = Replay(spark, by_time(wide, F.col("ts"), _order_span(spark, folder)), "brands")
-    out = work_dir(spark, "stats")
-    store = jobs.brand_sum_handler(out)
-    _replay(spark, source, store)
-    again = spark.read.schema(source.schema).parquet(f"{source.stage}/_chunk=2")
-    store(again, 2)
+    out, checkpoint = work_dir(spark, "stats"), work_dir(spark, "checkpoint")
+    store, failed = jobs.brand_sum_handler(out), []
+
+    def handler(batch, batch_id):
+        store(batch, batch_id)
+        if batch_id == 2 and not failed:
+            failed.append(batch_id)
+            raise Failure("between the write and the commit")
+
+    for i in range(CHUNKS):
+        source.feed(i)
+        _until_done(lambda: drain(source.stream(), handler, checkpoint))
+    if not failed:
+        raise AssertionError("there was no third batch to fail")
     stats = spark.read.parquet(out)
     return reports.brand_sums(stats.withColumnRenamed("amount", "final_detail_amount")).withColumn(
         "amount", F.col("amount").cast("double"))
 
 
-@query
-def layers_brand_sum(spark, folder):
-    """All jobs from change messages to brand sums, in two spans of time."""
-    layers = build_layers(spark, folder)
+def _stat_sums(layers: Layers) -> DataFrame:
     sums = reports.brand_sums(layers.stats().select(
         F.col("trademark_id").cast("bigint").alias("tm_id"),
         F.col("trademark_name").alias("tm_name"), F.col("amount").alias("final_detail_amount")))
     return sums.withColumn("amount", F.col("amount").cast("double"))
 
 
-def build_layers(spark: SparkSession, folder: str, chunks: int = 2) -> Layers:
+@query
+def layers_brand_sum(spark, folder):
+    """All jobs from change messages to brand sums, in two spans of time."""
+    return _stat_sums(build_layers(spark, folder))
+
+
+class FailingLayers(Layers):
+    """Fails once in the second batch of every job that publishes, at a given step."""
+
+    fail_at = "written"
+
+    def step(self, name: str, job: str, batch_id: int) -> None:
+        self.failed = getattr(self, "failed", set())
+        if name == self.fail_at and batch_id == 1 and job not in self.failed:
+            self.failed.add(job)
+            raise Failure(f"{job}: {name}")
+
+
+class FailingLaterLayers(FailingLayers):
+    fail_at = "published"
+
+
+@query
+def layers_replay(spark, folder):
+    """As ``layers_brand_sum``, but every publishing job fails in its second batch: in
+    one run between the files and their manifest, in another between the manifest and
+    the checkpoint. Both runs must give the same sums."""
+    runs = []
+    for kind in (FailingLayers, FailingLaterLayers):
+        layers = build_layers(spark, folder, kind=kind)
+        if layers.failed != {"changes", "orders", "details", "wide"}:
+            raise AssertionError(f"failed in {layers.failed} only")
+        runs.append(_stat_sums(layers))
+    one, other = runs
+    return one.intersect(other)
+
+
+def build_layers(spark: SparkSession, folder: str, chunks: int = 2, kind: type[Layers] = Layers) -> Layers:
     """The tables of the running jobs, fed with the whole shop."""
-    layers = Layers(spark, work_dir(spark, "layers"), as_of=shop.AS_OF)
+    layers = kind(spark, work_dir(spark, "layers"), as_of=shop.AS_OF)
     dims, facts = changes.shop_rows(spark, folder)
     # chunk 0 holds the dimensions, the facts follow by time
     facts = by_time(facts, F.col("ts"), _order_span(spark, folder), chunks)
@@ -231,13 +315,13 @@ def build_layers(spark: SparkSession, folder: str, chunks: int = 2) -> Layers:
     source = Replay(spark, rows, "changes")
     for i in range(chunks + 1):
         source.feed(i)
-        layers.route_changes(source.stream(), drain=True).awaitTermination()
+        _until_done(lambda: layers.route_changes(source.stream(), drain=True).awaitTermination())
         if i == 0:
             for name in DIMENSIONS:
                 layers.load_dimension(name, drain=True).awaitTermination()
             continue
         for job in (layers.enrich_orders, layers.enrich_details, layers.join_wide, layers.sum_brands):
-            job(drain=True).awaitTermination()
+            _until_done(lambda: job(drain=True).awaitTermination())
     return layers
 
 
@@ -248,14 +332,14 @@ def fan_out(spark, folder):
     write = jobs.fan_out_handler(status, orders, topic, "dwd_order_info")
 
     def handler(batch, batch_id):
-        known = ledger.read_changes(batch.sparkSession, status, jobs.STATUS, batch_id)
+        known = buckets.lookup(batch, ["user_id"], status, jobs.STATUS, ["user_id"], before=batch_id)
         write(mark_first_orders(batch, known), batch_id)
 
     _replay(spark, source, handler)
     counts = [
         rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("sink"), "n")
         for name, rows in (
-            ("user_status", ledger.read_changes(spark, status, jobs.STATUS)),
+            ("user_status", buckets.read(spark, status, jobs.STATUS, ["user_id"])),
             ("order_info", spark.read.parquet(orders)),
             ("dwd_order_info", spark.read.parquet(topic)),
         )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str,
@@ -26,7 +26,18 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
         .load()
     )
     return raw.selectExpr("cast(key as string) key", "cast(value as string) value",
-                          "topic", "partition", "offset", "timestamp")
+                          "topic", "partition", "offset", "timestamp",
+                          *(["headers"] if "includeHeaders" in options else []))
+
+
+def once_per_origin(messages: DataFrame, keep: str = "10 minutes") -> DataFrame:
+    """Kafka messages without those sent again under the same ``origin`` header.
+    Messages without one are told apart by their offsets."""
+    header = F.filter("headers", lambda h: h["key"] == "origin")
+    origin = F.coalesce(F.try_element_at(header, F.lit(1))["value"].cast("string"),
+                        F.concat_ws(":", "topic", "partition", "offset"))
+    return messages.withColumn("origin", origin).withWatermark(
+        "timestamp", keep).dropDuplicatesWithinWatermark(["origin"]).drop("origin")
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType,
