@@ -1,13 +1,14 @@
 """Splitting of hot keys.
 
 A window or join on a key sends all rows of one key to one task. When a key
-holds more than ``HOT_ROWS`` rows, its rows are cut into parts of consecutive
-order values, and the key's rows of the other side are repeated per part; all
+holds more than ``HOT_ROWS`` rows, its rows are range-sorted by key and order and
+cut where Spark's sample of them says, so that parts are of about equal size
+however the order values lie; rows of one order value may be in several parts. All
 other keys keep the single part ``COLD``. Data is looked at first: where no key
 is hot, as is usual, plans are built without parts.
 
-Hot keys are written to a table, so Spark knows their size and broadcasts them
-where that is small.
+Rows of hot keys are written once with their part, so that all that follows sees
+the same parts; other rows are not.
 """
 
 from __future__ import annotations
@@ -20,21 +21,18 @@ HOT_ROWS = 1_000_000
 COLD = -1
 
 
-def hot_keys(rows: DataFrame, key: str, order: str,
-             more_than: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with too many rows, ``(key, _parts, _lo, _hi)``, or None if there are none.
+def hot_keys(rows: DataFrame, key: str, more_than: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with too many rows, ``(key, _parts)``, or None if there are none.
 
-    Runs one aggregate over the two columns now, unless there are too few rows
+    Runs one aggregate over the column now, unless there are too few rows
     for any key to be hot. What it finds is written to the work folder, so that
     it is counted once and Spark knows its size.
     """
     if rows.count() <= more_than:
         return None
     found = (
-        rows.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-        .where(F.col("_n") > more_than)
-        .select(key, F.ceil(F.col("_n") / more_than).cast("int").alias("_parts"), "_lo", "_hi")
+        rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > more_than)
+        .select(key, F.ceil(F.col("_n") / more_than).cast("int").alias("_parts"))
     )
     if found.isEmpty():
         return None
@@ -43,45 +41,41 @@ def hot_keys(rows: DataFrame, key: str, order: str,
     return rows.sparkSession.read.parquet(path)
 
 
-def _part(order: str) -> Column:
-    """The part of a row: never falls as the order value rises; nulls sort first."""
-    span = (F.col("_hi") - F.col("_lo")).cast("double") + 1
-    share = (F.col(order) - F.col("_lo")).cast("double") / span
-    at = F.least(F.floor(share * F.col("_parts")).cast("int"), F.col("_parts") - 1)
-    return F.when(F.col(order).isNull(), F.lit(0)).otherwise(at)
+def with_part(rows: DataFrame, key: str, order: list[str], hot: DataFrame) -> DataFrame:
+    """Add ``_part``, by which rows of a hot key are spread: it never falls as the
+    ``order`` values rise, nulls first."""
+    spark, path = rows.sparkSession, work_dir(rows.sparkSession, "parts")
+    n = hot.agg(F.sum("_parts")).first()[0]
+    # a number per row, so that equal rows can be parted too
+    ranged = rows.join(hot, key, "left_semi").withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(
+        n, key, *order, "_row")
+    ranged.drop("_row").withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    schema = rows.withColumn("_part", F.lit(COLD)).schema
+    cold = rows.join(hot, key, "left_anti").withColumn("_part", F.lit(COLD))
+    return cold.unionByName(spark.read.schema(schema).parquet(path))
 
 
-def with_part(rows: DataFrame, key: str, order: str, hot: DataFrame) -> DataFrame:
-    """Add ``_part``, by which rows of a hot key are spread."""
-    return (
-        rows.join(hot, key, "left")
-        .withColumn("_part", F.when(F.col("_parts").isNull(), F.lit(COLD)).otherwise(_part(order)))
-        .drop("_parts", "_lo", "_hi")
-    )
+def parts_of(parted: DataFrame, key: str) -> DataFrame:
+    """``(key, _part)`` of the hot keys among rows that ``with_part`` has parted."""
+    return parted.where(F.col("_part") != COLD).select(key, "_part").distinct()
 
 
-def per_part(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def per_part(rows: DataFrame, key: str, parts: DataFrame) -> DataFrame:
     """Repeat the rows of a hot key once per part, for a join on ``(key, _part)``."""
-    parts = F.when(F.col("_parts").isNull(), F.array(F.lit(COLD))).otherwise(
-        F.sequence(F.lit(0), F.col("_parts") - 1))
-    return (
-        rows.join(hot, key, "left")
-        .withColumn("_part", F.explode(parts))
-        .drop("_parts", "_lo", "_hi")
-    )
+    return rows.join(parts, key, "left").withColumn("_part", F.coalesce("_part", F.lit(COLD)))
 
 
 def running_sums(rows: DataFrame, key: str, order: list[str], sums: dict[str, Column],
-                 hot: DataFrame | None = None) -> DataFrame:
+                 parted: bool = False) -> DataFrame:
     """Add sums over the rows of the same key up to and including the row.
 
-    With ``hot``, rows must carry ``_part``: each part is summed by itself, and
-    the total of the parts before it is added.
+    ``parted`` rows carry ``_part``: each part is summed by itself, and the total of
+    the parts before it is added, from a row for each key and part.
     """
-    by = [key] if hot is None else [key, "_part"]
+    by = [key, "_part"] if parted else [key]
     w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     out = rows.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
-    if hot is None:
+    if not parted:
         return out
     before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     totals = (

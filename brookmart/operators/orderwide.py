@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brookmart.functions.money import cents, from_cents, share_cents
-from brookmart.operators.hot import per_part, running_sums, with_part
+from brookmart.operators.hot import parts_of, per_part, running_sums, with_part
 
 # Column names. Wide column -> column of the order
 ORDER_COLUMNS = {
@@ -50,9 +50,9 @@ def order_wide(orders: DataFrame, details: DataFrame, hot: DataFrame | None = No
     """
     left, right, on = order_columns(orders), detail_columns(details), ["order_id"]
     if hot is not None:
-        left = per_part(left, "order_id", hot)
         if "_part" not in right.columns:
-            right = with_part(right, "order_id", "order_detail_id", hot)
+            right = with_part(right, "order_id", ["order_detail_id"], hot)
+        left = per_part(left, "order_id", parts_of(right, "order_id"))
         on = ["order_id", "_part"]
     return left.join(right, on, "inner")
 
@@ -88,7 +88,7 @@ def split_payment(wide: DataFrame, hot: DataFrame | None = None,
     else:
         on = ["order_id"]
         if hot is not None:
-            carried, on = per_part(carried, "order_id", hot), ["order_id", "_part"]
+            carried, on = per_part(carried, "order_id", parts_of(wide, "order_id")), ["order_id", "_part"]
         rows = rows.join(carried, on, "left")
         before_amount = F.coalesce("amount_before", F.lit(0).cast("bigint"))
         before_given = F.coalesce("given_before", F.lit(0).cast("bigint"))
@@ -96,7 +96,7 @@ def split_payment(wide: DataFrame, hot: DataFrame | None = None,
     rows = rows.withColumn("_share", share)
     rows = running_sums(rows, "order_id", ["order_detail_id"],
                         {"_amounts": F.col("_amount"),
-                         "_shares": F.coalesce("_share", F.lit(0).cast("bigint"))}, hot)
+                         "_shares": F.coalesce("_share", F.lit(0).cast("bigint"))}, hot is not None)
     rows = rows.withColumns({
         "amount_so_far": before_amount + F.col("_amounts"),
         "given_so_far": before_given + F.col("_shares"),

@@ -221,9 +221,9 @@ def trademark_batch_sum(spark, folder):
     return _double(reports.brand_sums(warehouse.wide(spark, folder, people=False)), "amount")
 
 
-def _brand_stats(spark: SparkSession, folder: str) -> DataFrame:
-    """Brand sums of every day, as a daily batch would store them."""
-    wide = warehouse.wide(spark, folder, people=False)
+def _brand_stats(spark: SparkSession, folder: str, after: str, before: str) -> DataFrame:
+    """Brand sums of every day between two, as a daily batch would store them."""
+    wide = warehouse.wide(spark, folder, warehouse.Days(between=(after, before)), people=False)
     return wide.groupBy("dt", "tm_id", "tm_name").agg(
         F.sum("final_detail_amount").alias("amount")
     ).select(F.col("dt").cast("timestamp").alias("stat_time"),
@@ -232,7 +232,8 @@ def _brand_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _top(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.top_brands(_brand_stats(spark, folder), "2018-01-01", "2024-01-01", 5)
+    between = "2018-01-01", "2024-01-01"
+    return reports.top_brands(_brand_stats(spark, folder, *between), *between, 5)
 
 
 @query

@@ -117,7 +117,7 @@ def _pair_sources(spark: SparkSession, folder: str, again: tuple[int, ...] = (0,
     delay = F.make_dt_interval(secs=F.pmod("order_detail_id", F.lit(90)))
     lines = lines.join(orders, "order_id").select(
         "order_detail_id", "order_id", (F.col("order_ts") + delay).alias("detail_ts"))
-    first = spark.sql("select unix_seconds(timestamp'%s 00:00:00')" % shop.DAY).scalar()
+    first = spark.sql("select unix_seconds(timestamp'%s 00:00:00')" % shop.DAY).first()[0]
     within = (first, first + REPLAY_SECONDS + max(again) - 1)
 
     def source(rows: DataFrame, at: str, name: str) -> Replay:

@@ -47,13 +47,20 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     return e.select(F.col("event_id").alias("offset"), F.to_json(body).alias("value"))
 
 
-def orders(spark: SparkSession, folder: str, days: tuple[str, ...] = ()) -> DataFrame:
-    """Order rows without province and original amount, of all days or of the
-    given ones, which reach the scan as a filter."""
+def stored_date(day: str) -> Column:
+    """The date under which the orders of a day are stored."""
+    return F.expr(f"cast(date'{day}' - {SHIFT_DAYS} as timestamp_ntz)")
+
+
+def orders(spark: SparkSession, folder: str, days: tuple[str, ...] = (),
+           between: tuple[str, str] | None = None) -> DataFrame:
+    """Order rows without province and original amount, of all days, of the given
+    ones, or of those strictly ``between`` two; the days reach the scan as a filter."""
     o = table(spark, folder, "orders")
     if days:
-        o = o.where(F.col("o_orderdate").isin(*[
-            F.expr(f"cast(date'{day}' - {SHIFT_DAYS} as timestamp_ntz)") for day in days]))
+        o = o.where(F.col("o_orderdate").isin(*map(stored_date, days)))
+    if between:
+        o = o.where((F.col("o_orderdate") > stored_date(between[0])) & (F.col("o_orderdate") < stored_date(between[1])))
     created = (F.col("o_orderdate").cast("timestamp")
                + F.make_dt_interval(F.lit(SHIFT_DAYS), F.lit(0), F.lit(0),
                                     F.col("o_orderkey") * 37 % 86400))
@@ -81,23 +88,28 @@ def with_original_amount(rows: DataFrame, spark: SparkSession, folder: str) -> D
     return rows.join(lines, "id", "left")
 
 
-# lines of an order are numbered in this order; it begins with the column by
-# which the lines of a very large order are cut into parts
+# lines of an order are numbered in this order, in which those of a very large
+# order are cut into parts
 LINE_ORDER = ["l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"]
 
 
 def large_orders(spark: SparkSession, folder: str, more_than: int = HOT_ROWS) -> DataFrame | None:
-    hot = hot_keys(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey", more_than)
+    hot = hot_keys(table(spark, folder, "lineitem"), "l_orderkey", more_than)
     return hot and hot.withColumnRenamed("l_orderkey", "order_id")
 
 
-def order_details(spark: SparkSession, folder: str, large: DataFrame | None = None) -> DataFrame:
-    """Order lines with an id. Lines of the ``large`` orders are numbered part by
-    part; parts follow the numbering, so they also serve to spread later sums."""
-    rows = table(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "order_id")
+def order_details(spark: SparkSession, folder: str, large: DataFrame | None = None,
+                  of: DataFrame | None = None) -> DataFrame:
+    """Order lines with an id, of all orders or of the ids in ``of``. Lines of the
+    ``large`` orders are numbered part by part; parts follow the numbering, so they
+    also serve to spread later sums."""
+    rows = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), *LINE_ORDER, "l_quantity")
+    if of is not None:
+        rows = rows.join(of.select(F.col("id").alias("order_id")), "order_id", "left_semi")
     if large is not None:
-        rows = with_part(rows, "order_id", "l_partkey", large)
-    numbered = running_sums(rows, "order_id", LINE_ORDER, {"_n": F.lit(1).cast("bigint")}, large)
+        rows = with_part(rows, "order_id", LINE_ORDER, large)
+    numbered = running_sums(rows, "order_id", LINE_ORDER, {"_n": F.lit(1).cast("bigint")}, large is not None)
     return numbered.select(
         ((F.col("_n") - 1) * F.lit(DETAIL_STEP) + F.col("order_id")).alias("id"),
         "order_id",

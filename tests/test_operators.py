@@ -225,9 +225,9 @@ def test_split_of_hot_orders_equals_plain(spark):
     """Orders cut into parts give what one window over them gives."""
     lines = skewed_lines()
     rows = spark.createDataFrame(lines, LINE)
-    large = hot.hot_keys(rows, "order_id", "order_detail_id", more_than=10)
+    large = hot.hot_keys(rows, "order_id", more_than=10)
     assert {r.order_id: r._parts for r in large.collect()} == {1: 12, 4: 4}
-    parted = hot.with_part(rows, "order_id", "order_detail_id", large)
+    parted = hot.with_part(rows, "order_id", ["order_detail_id"], large)
     sizes = {(r.order_id, r._part): r["count"] for r in parted.groupBy("order_id", "_part").count().collect()}
     assert sizes[(2, hot.COLD)] == 3 and max(sizes.values()) < 40
     assert finals(orderwide.split_payment(parted, large)) == by_hand(lines)
@@ -236,16 +236,44 @@ def test_split_of_hot_orders_equals_plain(spark):
 
 def test_hot_orders_with_null_order_values_equal_plain(spark):
     rows = spark.createDataFrame([(1, None), (1, 1), (1, 2), (1, 3), (1, 4), (2, None), (2, -5)], "k int, v int")
-    large = hot.hot_keys(rows, "k", "v", more_than=2)
+    large = hot.hot_keys(rows, "k", more_than=2)
     one = {"n": F.lit(1), "s": F.coalesce(F.col("v"), F.lit(100))}
     plain = hot.running_sums(rows, "k", ["v"], one)
-    parted = hot.running_sums(hot.with_part(rows, "k", "v", large), "k", ["v"], one, large).drop("_part")
+    parted = hot.running_sums(hot.with_part(rows, "k", ["v"], large), "k", ["v"], one, True).drop("_part")
     key = lambda f: sorted(map(repr, map(tuple, f.select("k", "v", "n", "s").collect())))
     assert key(plain) == key(parted)
 
 
+def test_parts_are_of_equal_size_whatever_the_order_values(spark):
+    """Of 3,000 rows of a key 2,999 have one order value, and half are equal altogether."""
+    rows = spark.range(3000).select(
+        F.lit(1).alias("k"), F.when(F.col("id") == 0, 1_000_000).otherwise(5).alias("v"),
+        F.greatest(F.col("id"), F.lit(1500)).alias("x")).repartition(4)
+    large = hot.hot_keys(rows, "k", more_than=100)
+    parted = hot.with_part(rows, "k", ["v", "x"], large)
+    sizes = [r["count"] for r in parted.groupBy("_part").count().collect()]
+    assert len(sizes) >= 25 and max(sizes) <= 200 and sum(sizes) == 3000
+    sums = {"n": F.lit(1), "s": F.col("x")}
+    plain = hot.running_sums(rows, "k", ["v", "x"], sums)
+    split = hot.running_sums(parted, "k", ["v", "x"], sums, True).drop("_part")
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 3), st.none() | st.integers(-4, 4), st.integers(-9, 9)), min_size=30, max_size=90))
+def test_parted_sums_equal_plain(spark, rows):
+    df = spark.createDataFrame(rows, "k int, v int, x int").repartition(3)
+    large = hot.hot_keys(df, "k", more_than=7)
+    sums = {"n": F.lit(1), "s": F.col("x")}
+    plain = hot.running_sums(df, "k", ["v", "x"], sums)
+    if large is None:
+        return
+    split = hot.running_sums(hot.with_part(df, "k", ["v", "x"], large), "k", ["v", "x"], sums, True).drop("_part")
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, split.collect()))
+
+
 def test_no_hot_keys_is_none(spark):
-    assert hot.hot_keys(spark.createDataFrame(skewed_lines(), LINE), "order_id", "order_detail_id") is None
+    assert hot.hot_keys(spark.createDataFrame(skewed_lines(), LINE), "order_id") is None
 
 
 def test_split_continues_from_earlier_batches(spark):
@@ -255,8 +283,8 @@ def test_split_continues_from_earlier_batches(spark):
     done = orderwide.split_payment(first)
     carried = done.groupBy("order_id").agg(F.max("amount_so_far").alias("amount_before"),
                                            F.max("given_so_far").alias("given_before"))
-    large = hot.hot_keys(second, "order_id", "order_detail_id", more_than=10)
-    rest = orderwide.split_payment(hot.with_part(second, "order_id", "order_detail_id", large), large, carried)
+    large = hot.hot_keys(second, "order_id", more_than=10)
+    rest = orderwide.split_payment(hot.with_part(second, "order_id", ["order_detail_id"], large), large, carried)
     assert finals(done) | finals(rest) == by_hand(lines)
 
 
@@ -264,7 +292,7 @@ def test_wide_join_with_hot_orders(spark):
     lines = skewed_lines()
     details = spark.createDataFrame([(i, o, a) for o, i, a, *_ in lines], "id bigint, order_id bigint, detail_amount double")
     orders = spark.createDataFrame([(o, f"s{o}") for o in range(1, 8)], "id bigint, order_status string")
-    large = hot.hot_keys(details, "order_id", "id", more_than=10)
+    large = hot.hot_keys(details, "order_id", more_than=10)
     plain = orderwide.order_wide(orders, details)
     parted = orderwide.order_wide(orders, details, large).drop("_part")
     assert sorted(map(tuple, parted.select(plain.columns).collect())) == sorted(map(tuple, plain.collect()))

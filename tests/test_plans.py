@@ -68,7 +68,7 @@ def test_hot_orders_are_spread_over_tasks(spark):
         F.lit(1.0).alias("detail_amount"))
     orders = lines.groupBy(F.col("order_id").alias("id")).agg(
         F.sum("detail_amount").alias("original_total_amount"), F.lit(10.0).alias("final_total_amount"))
-    large = hot.hot_keys(lines, "order_id", "id", more_than=100)
+    large = hot.hot_keys(lines, "order_id", more_than=100)
     assert [tuple(r)[:2] for r in large.collect()] == [(0, 30)]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
