@@ -66,6 +66,11 @@ def amount_by_hour(wide: DataFrame, day: str | None = None) -> DataFrame:
     return _with_amount(wide.groupBy("dt", hr.alias("hr")).agg(_amount().alias("amount")))
 
 
+def hours_of_sales(sales: DataFrame) -> DataFrame:
+    """Amount per hour from sums per day, hour and brand."""
+    return _with_amount(sales.groupBy("dt", "hr").agg(_amount("amount").alias("amount")))
+
+
 def hour_map(hours: DataFrame, value: str) -> DataFrame:
     """One row per day with ``{hour: value}``, at most 24 entries each."""
     entry = F.struct("hr", F.col(value))

@@ -107,10 +107,16 @@ def _compare(hours: str, value: str) -> str:
 SEEN_HOURS = SEEN + ", hours AS (SELECT dt, hr, count(*) AS n FROM seen GROUP BY ALL)"
 AMOUNT_HOURS = PAID + f", hours AS (SELECT dt, strftime(ts, '%H') AS hr, {_amount()} AS amount FROM paid GROUP BY ALL)"
 NEW = "new AS (SELECT dt, count(*) AS n FROM (SELECT mid, min(dt) AS dt FROM logs WHERE is_start GROUP BY mid) GROUP BY dt)"
-TOP = (WIDE + f""", top AS (
+
+
+def _top(after: str, before: str) -> str:
+    return WIDE + f""", top AS (
   SELECT CAST(tm_id AS VARCHAR) AS trademark_id, tm_name AS trademark_name, {_amount()} AS amount
-  FROM wide WHERE dt > '2018-01-01' AND dt < '2024-01-01' GROUP BY ALL
-  ORDER BY sum(final_cents) DESC, trademark_id LIMIT 5)""")
+  FROM wide WHERE dt > '{after}' AND dt < '{before}' GROUP BY ALL
+  ORDER BY sum(final_cents) DESC, trademark_id LIMIT 5)"""
+
+
+TOP = _top("2018-01-01", "2024-01-01")
 PAIRS = ORDERS + ", " + DETAILS + \
     " SELECT d.order_id, d.id AS detail_id FROM o JOIN d ON d.order_id = o.id WHERE d.id % 90 <= 50"
 RINGS = (WIDE + """, hit AS (
@@ -227,6 +233,8 @@ ORACLE: dict[str, str] = {
                           "THEN n_name END AS province_name FROM c",
     "sink_exactly_once": f"WITH {WIDE} SELECT tm_id, tm_name, {_amount()} AS amount FROM wide GROUP BY ALL",
     "layers_brand_sum": f"WITH {WIDE} SELECT tm_id, tm_name, {_amount()} AS amount FROM wide GROUP BY ALL",
+    "rollup_amount_hour": f"WITH {AMOUNT_HOURS} SELECT dt, hr, amount FROM hours",
+    "rollup_trademark_topn": f"WITH {_top('2023-12-31', '2024-01-16')} SELECT * FROM top",
     "layers_replay": f"WITH {WIDE} SELECT tm_id, tm_name, {_amount()} AS amount FROM wide GROUP BY ALL",
     "fan_out": """
         SELECT 'user_status' AS sink, count(DISTINCT o_custkey) AS n FROM orders

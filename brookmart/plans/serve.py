@@ -13,7 +13,8 @@ from brookmart.streaming.layers import Layers
 def realtime_total(layers: Layers, date: str) -> DataFrame:
     """Active devices, new devices and amount of a day: ``(id, name, value)``."""
     seen = layers.devices()
-    return reports.totals(seen, devices.new_devices(seen), layers.wide(date), date)
+    paid = layers.sales(date).withColumnRenamed("amount", "final_detail_amount")
+    return reports.totals(seen, devices.new_devices(seen), paid, date)
 
 
 def realtime_hour(layers: Layers, id: str, date: str) -> DataFrame | None:
@@ -22,8 +23,8 @@ def realtime_hour(layers: Layers, id: str, date: str) -> DataFrame | None:
         return reports.hour_compare(layers.spark, devices.hourly_count(layers.devices()), "n", date)
     if id == "order_amount":
         before = str(dt.date.fromisoformat(date) - dt.timedelta(days=1))
-        two_days = layers.wide(date).unionByName(layers.wide(before))
-        return reports.hour_compare(layers.spark, reports.amount_by_hour(two_days), "amount", date)
+        hours = reports.hours_of_sales(layers.sales(date, before))
+        return reports.hour_compare(layers.spark, hours, "amount", date)
     return None
 
 

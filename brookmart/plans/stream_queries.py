@@ -20,7 +20,7 @@ from brookmart.plans import warehouse
 from brookmart.plans.queries import query
 from brookmart.plans.replay import CHUNKS, Replay, Span, by_time, span
 from brookmart.session import work_dir
-from brookmart.sinks import buckets, ledger
+from brookmart.sinks import buckets, ledger, rollup
 from brookmart.sources import changes, shop
 from brookmart.streaming import jobs
 from brookmart.streaming.layers import DIMENSIONS, Layers
@@ -259,6 +259,42 @@ def sink_exactly_once(spark, folder):
         "amount", F.col("amount").cast("double"))
 
 
+def _sales(spark: SparkSession, folder: str) -> str:
+    """Sums per day, hour and brand of all lines, added batch by batch; the third batch
+    fails after it was added and runs again."""
+    wide = warehouse.wide(spark, folder, people=False).select(
+        F.to_timestamp("create_time").alias("ts"), "dt", "create_time", "tm_id", "tm_name", "final_detail_amount")
+    source = Replay(spark, by_time(wide, F.col("ts"), _order_span(spark, folder)), "sales")
+    out, checkpoint, failed = work_dir(spark, "sales"), work_dir(spark, "checkpoint"), []
+
+    def handler(batch, batch_id):
+        rollup.add(batch, out, batch_id)
+        if batch_id == 2 and not failed:
+            failed.append(batch_id)
+            raise Failure("between the sums and the commit")
+
+    for i in range(CHUNKS):
+        source.feed(i)
+        _until_done(lambda: drain(source.stream(), handler, checkpoint))
+    return out
+
+
+@query
+def rollup_amount_hour(spark, folder):
+    hours = reports.hours_of_sales(rollup.read(spark, _sales(spark, folder)))
+    return hours.withColumn("amount", F.col("amount").cast("double"))
+
+
+@query
+def rollup_trademark_topn(spark, folder):
+    """The ranking over an interval, from the buckets of its days."""
+    between = "2023-12-31", "2024-01-16"
+    sales = rollup.read(spark, _sales(spark, folder), rollup.days_between(*between))
+    stats = sales.select(F.col("dt").cast("timestamp").alias("stat_time"), F.col("tm_id").cast("string").alias("trademark_id"),
+                         F.col("tm_name").alias("trademark_name"), "amount")
+    return reports.top_brands(stats, *between, 5).withColumn("amount", F.col("amount").cast("double"))
+
+
 def _stat_sums(layers: Layers) -> DataFrame:
     sums = reports.brand_sums(layers.stats().select(
         F.col("trademark_id").cast("bigint").alias("tm_id"),
