@@ -1,12 +1,15 @@
 """WARC files of pages, and a Merkle audit of the copies of such files.
 
 ``write_warc`` writes pages as WARC 1.1 response records, each a gzip member of its
-own, to files in ascending order of page id and stores an index: file, offset and
-length of each record and the sha256 of its bytes. ``tree`` builds a Merkle tree per file over its records in
+own, to a file per task, there in ascending order of page id, and stores an index: file,
+offset and length of each record and the sha256 of its bytes. Pages are not shuffled.
+``tree`` builds a Merkle tree per file over its records in
 order of offset: a leaf hashes a record's hash together with its range, a node its
 up to ``FANOUT`` children in order, and the roots of the files are the leaves of one
 more such tree. ``audit`` compares the trees of two replicas from the top: only
 children of nodes that differ are looked at on the next level, down to the records.
+The leaf of a file holds its size as well, so surplus bytes show in the root;
+``audit_files`` names the files of wrong size, those lost and those that are too many.
 
 Trees are tables (level, node, hash), each level one grouping by (file, parent),
 which has no more than ``FANOUT`` rows per group. A replica's leaves are read from
@@ -25,7 +28,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookmart.llm.common import column, folder, stored
@@ -91,8 +94,7 @@ def write_warc(pages: DataFrame, target: str, id_col: str = "page_id", url_col:
                         column(pages, url_col).cast("string").alias("url"),
                         column(pages, html_col).cast("string").alias("html"))
     order = [F.asc_nulls_first("page_id"), F.xxhash64("url", "html")]
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return stored(rows.mapInArrow(_write(target), _INDEX), "warc-index")
+    return stored(rows.sortWithinPartitions(*order).mapInArrow(_write(target), _INDEX), "warc-index")
 
 
 def _copy(source: str, target: str, change: Callable[[int | None, bytes], bytes] | None):
@@ -166,9 +168,25 @@ def _parents(nodes: DataFrame, fanout: int) -> DataFrame:
         .alias("children")).select("file", "node", F.sha2("children", 256).alias("hash"))
 
 
-def tree(leaves: DataFrame, fanout: int = FANOUT) -> list[DataFrame]:
+def meant_sizes(index: DataFrame) -> DataFrame:
+    """(file, bytes) as the index has them."""
+    return index.groupBy("file").agg(F.max(F.col("offset") + F.col("length")).alias("bytes"))
+
+
+def real_sizes(spark: SparkSession, target: str) -> DataFrame:
+    """(file, bytes) of the files that are there; one row for each."""
+    from pyarrow import fs
+    system, root = file_system(target)
+    found = system.get_file_info(fs.FileSelector(root, allow_not_found=True))
+    rows = [(f.base_name, f.size) for f in found if f.is_file and not f.base_name.startswith(".")]
+    return spark.createDataFrame(rows, "file string, bytes long")
+
+
+def tree(leaves: DataFrame, fanout: int = FANOUT, sizes: DataFrame | None = None) -> list[DataFrame]:
     """The levels (file, node, hash) over (file, at, offset, length, sha256), leaves first.
 
+    ``sizes`` (file, bytes) become part of the leaves of the files.
+
     The highest level has one node for each file; above it come the levels over the
     files, whose ``file`` is empty, up to a single root.
     """
@@ -178,9 +196,11 @@ def tree(leaves: DataFrame, fanout: int = FANOUT) -> list[DataFrame]:
     while most:
         levels.append(stored(_parents(levels[-1], fanout), "nodes"))
         most //= fanout
-    files = levels[-1].select(
+    top = levels[-1].withColumn("bytes", F.lit(None).cast("long")) if sizes is None else levels[-1].join(
+        sizes, "file", "left")
+    files = top.select(
         F.lit("").alias("file"), F.regexp_extract("file", "([0-9]+)", 1).cast("long").alias("node"),
-        F.sha2(F.concat_ws(":", "file", "hash"), 256).alias("hash"))
+        F.sha2(F.concat_ws(":", "file", "hash", "bytes"), 256).alias("hash"))
     levels.append(stored(files, "files"))
     most = levels[-1].agg(F.max("node")).first()[0]
     while most:
@@ -211,12 +231,26 @@ def differing(one: list[DataFrame], other: list[DataFrame], fanout: int = FANOUT
 
 def audit(index: DataFrame, replica: str, fanout: int = FANOUT) -> DataFrame:
     """The index with a column ``damaged``: the replica's bytes differ from what was meant."""
-    meant = tree(index.select("file", "at", "offset", "length", "sha256"), fanout)
-    there = tree(read_hashes(index, replica), fanout)
+    meant = tree(index.select("file", "at", "offset", "length", "sha256"), fanout, meant_sizes(index))
+    there = tree(read_hashes(index, replica), fanout, real_sizes(index.sparkSession, replica))
     bad = differing(meant, there, fanout).withColumn("damaged", F.lit(True))
     return index.join(bad, ["file", "at"], "left").withColumn("damaged", F.coalesce("damaged", F.lit(False)))
 
 
+def audit_files(index: DataFrame, replica: str, fanout: int = FANOUT) -> DataFrame:
+    """(file, meant_bytes, real_bytes, n_damaged, damaged) of all files meant or found.
+
+    A file is damaged if records of it are, if it is lost (no real bytes), is longer
+    or shorter than meant, or is in the replica without being meant (no meant bytes).
+    """
+    records = audit(index, replica, fanout).groupBy("file").agg(F.count_if("damaged").alias("n_damaged"))
+    meant = meant_sizes(index).withColumnRenamed("bytes", "meant_bytes")
+    real = real_sizes(index.sparkSession, replica).withColumnRenamed("bytes", "real_bytes")
+    both = meant.join(real, "file", "full").join(records, "file", "left")
+    return both.select("file", "meant_bytes", "real_bytes", F.coalesce("n_damaged", F.lit(0)).alias("n_damaged")).withColumn(
+        "damaged", ~F.col("meant_bytes").eqNullSafe(F.col("real_bytes")) | (F.col("n_damaged") > 0))
+
+
 def flip(page_id: int | None, data: bytes) -> bytes:
     """Turns over a bit in the middle of the record of every 50th page."""
     if page_id is None or page_id % 50:

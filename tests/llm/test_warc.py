@@ -41,8 +41,9 @@ def test_files_hold_the_pages(spark, pages):
             body = block.partition(b"\r\n\r\n")[2][:-4]
             assert hashlib.sha256(body).hexdigest() == r.payload_sha256 and len(body) == r.payload_bytes
             found.append(body.decode())
-            assert last is None or r.page_id >= last
-            last = r.page_id
+            # in ascending order within a file, null ids first
+            assert last is None or last[0] != r.file or last[1] is None or r.page_id >= last[1]
+            last = r.file, r.page_id
         assert sorted(found) == texts
 
 
@@ -74,6 +75,27 @@ def test_lost_and_cut_files(spark, pages):
     assert warc.audit(index, nowhere).filter("damaged").count() == index.count()
 
 
+def test_surplus_bytes_and_files_are_found(spark, pages):
+    source, replica = folder(spark, "source"), folder(spark, "replica")
+    index = warc.write_warc(pages.repartition(3), source)
+    warc.replicate(index, source, replica)
+    assert warc.audit_files(index, replica).filter("damaged").count() == 0
+    system, root = file_system(replica)
+    names = sorted(r.file for r in index.select("file").distinct().collect())
+    with system.open_input_file(f"{root}/{names[0]}") as f:
+        data = f.read()
+    for name, what in ((names[0], data + b"surplus"), ("foreign", b"x")):
+        with system.open_output_stream(f"{root}/{name}", compression=None) as f:
+            f.write(what)
+    found = {r.file: (r.meant_bytes, r.real_bytes, r.n_damaged) for r in warc.audit_files(index, replica).filter("damaged").collect()}
+    assert found == {names[0]: (len(data), len(data) + 7, 0), "foreign": (None, 1, 0)}
+    # the root differs, though no record does
+    one = warc.tree(index, 16, warc.meant_sizes(index))[-1].first().hash
+    assert one != warc.tree(warc.read_hashes(index, replica), 16, warc.real_sizes(spark, replica))[-1].first().hash
+    lost = warc.audit_files(index, folder(spark, "nowhere")).collect()
+    assert {(r.real_bytes, r.damaged) for r in lost} == {(None, True)} and len(lost) == len(names)
+
+
 def test_only_differing_branches_are_descended(spark, pages):
     source, replica = folder(spark, "source"), folder(spark, "replica")
     index = warc.write_warc(pages.coalesce(1), source)
