@@ -299,8 +299,9 @@ def stitched(pieces: dict[int, list[Piece]]) -> list[Piece]:
         for other in pieces[start]:
             found = [x for x in (_put_together(one, other) for one in opened) if x]
             out += [x for x in found if not x.cut_left and not x.cut_right]
+            # what has lost its beginning becomes no whole span any more
             for x in [*found, other]:
-                if x.cut_right:
+                if x.cut_right and not x.cut_left:
                     now.setdefault((x.start, x.kind), x)
         opened, last = list(now.values()), start
     return out

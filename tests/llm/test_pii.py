@@ -132,3 +132,17 @@ def test_spans_are_found_wherever_they_stand(monkeypatch, size):
             texts = ["." * offset + span + "." * n for n in (0, 7, 200)]
             for (got,) in pii.tagged_spans({}, texts):
                 assert got[:3] == (offset, offset + size, "email") and abs(got[3] - 0.95) < 1e-6
+
+
+def test_a_very_long_span_takes_time_in_proportion(monkeypatch):
+    import time
+
+    def decode(params, x):
+        # digits are one card, cut by nothing
+        paths = np.where(x > 0, 1 + 2 * pii.KINDS.index("card") + 1, 0)
+        return paths, np.ones(x.shape, np.float32)
+
+    monkeypatch.setattr(pii.tagger, "decode", decode)
+    begin = time.process_time()
+    found = pii.tagged_spans(None, ["5" * 300_000])
+    assert time.process_time() - begin < 10 and found == [[]]
