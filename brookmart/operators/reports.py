@@ -91,7 +91,13 @@ def hour_compare(spark: SparkSession, hours: DataFrame, value: str, day: str) ->
 
 
 def totals(seen: DataFrame, newcomers: DataFrame, wide: DataFrame, day: str) -> DataFrame:
-    """The three headline figures of a day: ``(id, name, value)``."""
+    """The three headline figures of a day, ``(id, name, value)``, from the rows seen first
+    on each day, new devices per day, and paid lines."""
+    return headlines(seen.groupBy("dt").agg(F.count(F.lit(1)).alias("n")), newcomers, wide, day)
+
+
+def headlines(active: DataFrame, newcomers: DataFrame, wide: DataFrame, day: str) -> DataFrame:
+    """The same from active devices per day."""
     def one(which: int, rows: DataFrame, value: Column) -> DataFrame:
         key, name = TOTALS[which]
         return rows.where(F.col("dt") == day).agg(
@@ -99,7 +105,7 @@ def totals(seen: DataFrame, newcomers: DataFrame, wide: DataFrame, day: str) ->
         ).select(F.lit(key).alias("id"), F.lit(name).alias("name"), "value")
 
     return (
-        one(0, seen, F.count(F.lit(1)))
+        one(0, active, F.sum("n"))
         .unionByName(one(1, newcomers, F.sum("n")))
         .unionByName(one(2, wide, from_cents(F.sum(cents(F.col("final_detail_amount"))))))
     )

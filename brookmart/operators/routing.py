@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brookmart.functions.jsonrows import has_object
+from brookmart.functions.jsonrows import field, has_object
 from brookmart.schemas import MAXWELL
 
 # Target topics, table names and row kinds.
@@ -17,6 +17,9 @@ DIMENSION_TABLES = (
 )
 CANAL_INSERT = "INSERT"
 MAXWELL_INSERT = "insert"
+MAXWELL_DELETE = "delete"
+#: The place of a transaction's last row.
+LAST_PLACE = (1 << 63) - 1
 
 
 def route_logs(logs: DataFrame) -> DataFrame:
@@ -27,13 +30,15 @@ def route_logs(logs: DataFrame) -> DataFrame:
     )
 
 
-def _envelope(changes: DataFrame) -> DataFrame:
-    """``(type, table, data)`` of each change, with ``data`` still as JSON text.
+def _envelope(changes: DataFrame, *more: str) -> DataFrame:
+    """``(type, table, data)`` of each change, with ``data`` still as JSON text, and
+    ``_name`` for every further field.
 
     ``json_tuple`` parses a message once; filters pushed below ``from_json``
     would parse it once more per condition.
     """
-    return changes.select(*_others(changes), F.json_tuple("value", *MAXWELL.names).alias(*MAXWELL.names))
+    return changes.select(*_others(changes), F.json_tuple("value", *MAXWELL.names, *more).alias(
+        *MAXWELL.names, *[f"_{name}" for name in more]))
 
 
 def _others(changes: DataFrame) -> list[str]:
@@ -55,13 +60,37 @@ def route_canal(changes: DataFrame) -> DataFrame:
 
 def route_maxwell(changes: DataFrame) -> DataFrame:
     """Inserted fact rows and all changes of dimension rows: ``(topic, value,
-    type)`` and the change's other columns.
+    type, commit)`` and the change's other columns.
 
-    A deleted dimension row passes as well; the keyed sink may drop it.
+    A deleted dimension row passes as well; its ``commit`` says so, and when and where
+    in which transaction the change was committed. The last row of a transaction bears
+    the mark ``commit`` instead of a place.
     """
     facts = F.col("table").isin(*FACT_TABLES) & (F.col("type") == MAXWELL_INSERT)
     dims = F.col("table").isin(*DIMENSION_TABLES)
+    last = F.when(F.col("_commit") == "true", F.lit(LAST_PLACE))
+    commit = F.struct(
+        F.col("_ts").try_cast("bigint").alias("_ts"), F.col("_xid").try_cast("bigint").alias("_xid"),
+        F.coalesce(F.col("_xoffset").try_cast("bigint"), last).alias("_xoffset"),
+        F.coalesce(F.col("type") == MAXWELL_DELETE, F.lit(False)).alias("_deleted"))
     return (
-        _envelope(changes).where(F.col("data").isNotNull() & (F.col("data") != "{}") & (facts | dims))
-        .select(_target(), F.col("data").alias("value"), "type", *_others(changes))
+        _envelope(changes, "ts", "xid", "xoffset", "commit")
+        .where(F.col("data").isNotNull() & (F.col("data") != "{}") & (facts | dims))
+        .select(_target(), F.col("data").alias("value"), "type", commit.alias("commit"), *_others(changes))
     )
+
+
+def with_commit(routed: DataFrame) -> DataFrame:
+    """Messages of dimension topics with their ``commit`` in the row, as ``_commit``;
+    whoever reads a row by its type does not see it. Rows without commits stay as they are."""
+    if "commit" not in routed.columns:
+        return routed
+    dims = F.col("topic").isin(*[TOPIC_PREFIX + name for name in DIMENSION_TABLES])
+    marked = F.concat(F.lit('{"_commit":'), F.to_json("commit"), F.lit(","), F.expr("substring(value, 2)"))
+    return routed.withColumn("value", F.when(dims, marked).otherwise(F.col("value"))).drop("commit")
+
+
+def row_key() -> Column:
+    """The key of a routed row, by which a topic keeps changes of a row in order."""
+    brands = F.col("topic") == TOPIC_PREFIX + "base_trademark"
+    return F.when(brands, field(F.col("value"), "tm_id")).otherwise(field(F.col("value"), "id"))

@@ -6,6 +6,7 @@ from brookmart.functions import people
 from brookmart.operators.reports import TOTALS
 from brookmart.operators.routing import DIMENSION_TABLES, EVENT_TOPIC, FACT_TABLES, START_TOPIC
 from brookmart.plans.replay import CHUNKS
+from brookmart.sinks.postings import B, K, PLACES
 from brookmart.sources import changes, shop
 
 DAY = f"DATE '{shop.DAY}'"
@@ -109,6 +110,10 @@ AMOUNT_HOURS = PAID + f", hours AS (SELECT dt, strftime(ts, '%H') AS hr, {_amoun
 NEW = "new AS (SELECT dt, count(*) AS n FROM (SELECT mid, min(dt) AS dt FROM logs WHERE is_start GROUP BY mid) GROUP BY dt)"
 
 
+DEVICES = """SELECT dt, d.n, coalesce(new.n, 0) AS n_new
+  FROM (SELECT dt, count(DISTINCT mid) AS n FROM logs WHERE is_start GROUP BY dt) d LEFT JOIN new USING (dt)"""
+
+
 def _top(after: str, before: str) -> str:
     return WIDE + f""", top AS (
   SELECT CAST(tm_id AS VARCHAR) AS trademark_id, tm_name AS trademark_name, {_amount()} AS amount
@@ -146,7 +151,21 @@ ORACLE: dict[str, str] = {
         FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS word
               FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1))
         WHERE word = 'the' GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 10""",
+    "doc_search_ranked": f"""
+        WITH w AS (
+          SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS term FROM documents),
+        n AS (SELECT doc_id, term, count(*) AS n FROM w WHERE term <> '' GROUP BY ALL),
+        l AS (SELECT doc_id, sum(n) AS len FROM n GROUP BY doc_id),
+        a AS (SELECT count(*) AS docs, (SELECT sum(len) FROM l) / count(*) AS mean FROM documents),
+        f AS (SELECT *, count(*) OVER (PARTITION BY term) AS df FROM n WHERE term IN ('the', 'query'))
+        SELECT doc_id, round(sum(ln(1 + (docs - df + 0.5) / (df + 0.5)) * n * ({K} + 1)
+                 / (n + {K} * (1 - {B} + {B} * len / mean))), {PLACES}) AS score
+        FROM f JOIN l USING (doc_id) CROSS JOIN a GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 10""",
     # messages
+    "cdc_apply_ordered": """
+        SELECT CAST(c_custkey AS VARCHAR) AS id,
+               CASE WHEN c_custkey % 9 = 0 THEN '4' WHEN c_custkey % 5 <> 0 THEN '2' ELSE '1' END AS user_level
+        FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 9 = 0""",
     "route_logs": f"WITH {LOGS} SELECT CASE WHEN is_start THEN '{START_TOPIC}' ELSE '{EVENT_TOPIC}' END AS topic, "
                   "count(*) AS n FROM logs GROUP BY 1",
     "cdc_route_canal": f"WITH {CHANGES} SELECT 'ods_' || tbl AS topic, CAST(2 * count(*) AS BIGINT) AS n, "
@@ -169,6 +188,8 @@ ORACLE: dict[str, str] = {
     "dau_hour_day": f"WITH {SEEN_HOURS} SELECT dt, hr, n FROM hours WHERE {_day} ORDER BY n DESC, hr LIMIT 24",
     "hour_compare_dau": f"WITH {SEEN_HOURS} {_compare('hours', 'n')}",
     "new_devices": f"WITH {LOGS}, {NEW} SELECT dt, n FROM new",
+    "bitmap_devices": f"WITH {LOGS}, {NEW} {DEVICES}",
+    "bitmap_devices_day": f"WITH {LOGS}, {NEW} {DEVICES} WHERE {_day}",
     # dimensions and lookups
     "user_profile": f"WITH {USERS} SELECT id, age_group, gender_name FROM users",
     "sku_denormalize": "SELECT CAST(p_partkey AS VARCHAR) AS sku_id, p_brand AS tm_name, "

@@ -13,9 +13,9 @@ from brookmart.operators import devices, reports, routing
 from brookmart.operators.firstorder import mark_first_orders, user_status
 from brookmart.operators.lookups import with_province, with_sku, with_user
 from brookmart.plans import warehouse
-from brookmart.schemas import ORDER_INFO
+from brookmart.schemas import ORDER_INFO, USER_INFO
 from brookmart.session import tune, work_dir
-from brookmart.sinks import ledger, topics
+from brookmart.sinks import ledger, ordered, postings, topics
 from brookmart.sources import changes, shop, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,19 @@ def doc_search(spark, folder):
                                    objects="labels", field="quality", value=1, key="doc_id")
 
 
+@query
+def doc_search_ranked(spark, folder):
+    """The best documents for two words by a stored index. A first batch holds drafts of
+    the English documents, a second all documents as they are now."""
+    path = work_dir(spark, "index")
+    docs = shop.table(spark, folder, "documents").select("doc_id", "text")
+    drafts = shop.table(spark, folder, "documents").where("lang = 'en'").select(
+        "doc_id", F.concat_ws(" ", F.lit("draft the"), "text", "source").alias("text"))
+    postings.add(drafts, path, 0, "doc_id", "text")
+    postings.add(docs, path, 1, "doc_id", "text")
+    return postings.search(spark, path, ["The", "query"]).withColumnRenamed("doc", "doc_id")
+
+
 # -- messages --------------------------------------------------------------
 
 @query
@@ -84,6 +97,16 @@ def cdc_route_maxwell(spark, folder):
     return _per_topic(routing.route_maxwell(changes.maxwell(spark, folder)))
 
 
+@query
+def cdc_apply_ordered(spark, folder):
+    """Histories of all users in two batches that mix all steps; what is left of them."""
+    path, messages = work_dir(spark, "users"), changes.versions(spark, folder)
+    for batch in range(2):
+        routed = routing.with_commit(routing.route_maxwell(messages.where(F.col("batch") == batch)))
+        ordered.apply(ordered.parse(routed, USER_INFO), path, batch, USER_INFO, ["id"])
+    return ordered.read(spark, path, USER_INFO, ["id"]).select("id", "user_level")
+
+
 @query
 def json_parse_dynamic(spark, folder):
     return shop.table(spark, folder, "events").select(

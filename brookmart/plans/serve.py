@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from brookmart.operators import devices, reports
 from brookmart.streaming.layers import Layers
@@ -12,9 +12,10 @@ from brookmart.streaming.layers import Layers
 
 def realtime_total(layers: Layers, date: str) -> DataFrame:
     """Active devices, new devices and amount of a day: ``(id, name, value)``."""
-    seen = layers.devices()
+    counts = layers.device_counts(date)
     paid = layers.sales(date).withColumnRenamed("amount", "final_detail_amount")
-    return reports.totals(seen, devices.new_devices(seen), paid, date)
+    newcomers = counts.select("dt", F.col("n_new").alias("n"))
+    return reports.headlines(counts, newcomers, paid, date)
 
 
 def realtime_hour(layers: Layers, id: str, date: str) -> DataFrame | None:

@@ -20,7 +20,7 @@ from brookmart.plans import warehouse
 from brookmart.plans.queries import query
 from brookmart.plans.replay import CHUNKS, Replay, Span, by_time, span
 from brookmart.session import work_dir
-from brookmart.sinks import buckets, ledger, rollup
+from brookmart.sinks import bitmaps, buckets, ledger, rollup
 from brookmart.sources import changes, shop
 from brookmart.streaming import jobs
 from brookmart.streaming.layers import DIMENSIONS, Layers
@@ -85,6 +85,37 @@ def stream_dau(spark, folder):
     return now.select("dt", "mid", "uid", F.col("offset").alias("event_id"))
 
 
+def _device_days(spark: SparkSession, folder: str) -> str:
+    """Bitmaps of devices by day, added batch by batch; the third batch fails after it
+    was added and runs again."""
+    rows = warehouse.start_records(spark, folder).select("dt", F.col("mid").alias("member"), F.timestamp_millis("ts").alias("at"))
+    source = Replay(spark, by_time(rows, F.col("at"), _event_span(spark, folder)), "starts")
+    out, checkpoint, failed = work_dir(spark, "device_days"), work_dir(spark, "checkpoint"), []
+
+    def handler(batch, batch_id):
+        bitmaps.add(batch, out, batch_id)
+        if batch_id == 2 and not failed:
+            failed.append(batch_id)
+            raise Failure("between the bitmaps and the commit")
+
+    for i in range(CHUNKS):
+        source.feed(i)
+        _until_done(lambda: drain(source.stream(), handler, checkpoint))
+    return out
+
+
+@query
+def bitmap_devices(spark, folder):
+    """Active and new devices of every day."""
+    return bitmaps.by_day(spark, _device_days(spark, folder))
+
+
+@query
+def bitmap_devices_day(spark, folder):
+    """The same of one day, from its month's earlier days and the earlier months."""
+    return bitmaps.of_day(spark, _device_days(spark, folder), shop.DAY)
+
+
 @query
 def sliding_window_count(spark, folder):
     source = _events(spark, folder)
