@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brookmart.llm import collocations, tiledcosine
+from brookmart.llm import collocations, decontaminate, tiledcosine
 from brookmart.llm.rules import BOILERPLATE, LONG_LINE, MAX_LOST, MAX_REPEAT_PERCENT, MIN_WORDS, WINDOW
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -115,10 +115,29 @@ pos AS (
 its AS (
   SELECT k, count(DISTINCT item_id) AS n_items,
     sha256(array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',')) AS items_sha256
-  FROM hits GROUP BY k)
+  FROM hits GROUP BY k),
+wt AS (
+  SELECT win, unnest(string_split(win, ' ')) AS word, unnest(range(0, n)) AS o FROM (SELECT DISTINCT n, win FROM bw)),
+tw AS (
+  SELECT * FROM (SELECT k, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d)
+  WHERE word IN (SELECT word FROM wt)),
+rare AS (
+  SELECT win, arg_min(word, {decontaminate.WINDOW} * c + o) AS word, count(DISTINCT word) AS n
+  FROM wt LEFT JOIN (SELECT word, count(*) AS c FROM tw GROUP BY word) USING (word)
+  GROUP BY win HAVING count(c) = count(*)),
+anchors AS (SELECT win, rare.n, k, p FROM rare JOIN tw USING (word)),
+near AS (
+  SELECT DISTINCT a.win, a.k
+  FROM anchors a JOIN (SELECT DISTINCT win, word FROM wt) t ON t.win = a.win
+    JOIN tw x ON x.k = a.k AND x.word = t.word AND x.p BETWEEN a.p - {decontaminate.SLOP} AND a.p + {decontaminate.SLOP}
+  GROUP BY a.win, a.k, a.p, a.n HAVING count(DISTINCT x.word) = a.n),
+nrs AS (
+  SELECT k, count(DISTINCT item_id) AS n_near_items
+  FROM (SELECT k, item_id FROM near JOIN bw USING (win) UNION SELECT k, item_id FROM hits) GROUP BY k)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
-FROM d LEFT JOIN pos USING (k) LEFT JOIN its USING (k)
+  coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated,
+  coalesce(n_near_items, 0) AS n_near_items
+FROM d LEFT JOIN pos USING (k) LEFT JOIN its USING (k) LEFT JOIN nrs USING (k)
 """,
     "op11_son_collocations": collocations_sql(),
     "op12_tiled_cosine": f"""

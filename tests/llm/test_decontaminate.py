@@ -1,8 +1,10 @@
 import hashlib
 
+import duckdb
 import pytest
 
 from brookmart.llm import decontaminate as dc
+from brookmart.llm.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
 
@@ -84,3 +86,22 @@ def test_contaminated_rows_go(spark, docs):
     left = dc.decontaminate(docs, bench)
     assert bad and left.columns == docs.columns
     assert {r.doc_id for r in left.collect()} == {r.doc_id for r in docs.collect()} - bad
+
+
+def test_near_matches_against_the_twin(spark, docs):
+    """Items put into texts with words added, taken out of place or put far apart."""
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").toPandas()[["item_id", "text"]]
+    rows = [(r.doc_id, r.text) for r in docs.limit(40).collect()]
+    for i, text in enumerate(bench.text[:20]):
+        w = dc.words(text.encode())
+        w = [x.decode() for x in w]
+        for kind, said in enumerate((w[:5] + ["new"] + w[5:], w[::-1], w[:5] + ["far"] * (5 * i) + w[5:], w[1:])):
+            rows.append((10_000 + 10 * i + kind, " ".join(["x"] * (i % 3) + said)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dc.search(dc.build_index(frame, segment_words=3000), spark.createDataFrame(bench)).drop("items").toPandas()
+    db = duckdb.connect()
+    db.register("documents", frame.toPandas())
+    db.register("benchmark", bench)
+    want = db.sql(ORACLE["op10_decontaminate"]).df()[list(got.columns)]
+    assert sorted(map(tuple, got.values.tolist())) == sorted(map(tuple, want.values.tolist()))
+    assert (got.n_near_items > got.n_items).sum() >= 20 and (got.n_near_items == 0).any()
