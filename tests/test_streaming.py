@@ -384,3 +384,28 @@ def test_interval_trigger_runs(spark):
     finally:
         query.stop()
     assert [r.id for r in spark.read.parquet(out).select("id").collect()] == [1]
+
+
+def test_state_lies_in_as_many_parts_as_cores(spark, tmp_path):
+    from brookmart.streaming import run
+
+    rows = spark.range(20).select(F.col("id"), F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("at"))
+    rows.write.parquet(str(tmp_path / "in"))
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        stream = jobs.distinct_stream(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")), ["id"], "at")
+
+        def handle(batch, batch_id):
+            # a batch's own shuffles are as wide as the session says
+            wide = batch.groupBy("id").count()
+            seen.append((wide.count(), batch.sparkSession.conf.get(
+                "spark.sql.adaptive.coalescePartitions.initialPartitionNum")))
+
+        query = run.drain(stream, handle, str(tmp_path / "checkpoint"))
+        parts = {s["numShufflePartitions"] for p in query.recentProgress for s in p["stateOperators"]}
+        assert parts == {run.state_parts(spark)} and parts.pop() <= max(8, spark.sparkContext.defaultParallelism)
+        assert seen[0] == (20, "64")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
