@@ -2,9 +2,8 @@
 
 Assignments, access keys and long hexadecimal runs are found by pattern. Beside
 them, any long string after a sensitive word is a candidate: it is compressed
-together with the text around it by zstandard, primed with a dictionary trained on
-a bounded sample of the texts and of their identifiers, secrets and candidates taken
-out of both. Its marginal bytes, what it
+together with the text around it by zstandard, primed with a dictionary of what is
+frequent in all texts, whatever could be a secret taken out. Its marginal bytes, what it
 adds to the compressed surroundings, tell how new it is; prose and identifiers add
 little, keys add nearly all of their bytes. Those above ``NOVEL`` are reported.
 
@@ -15,14 +14,17 @@ ties get equal results; no rows give none. Spans are in code points, end exclusi
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from brookmart.llm.common import column, numbered, some_texts
+from brookmart.llm.common import column, numbered
 
 # The patterns of the base kinds.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -42,11 +44,14 @@ AROUND = 400
 NOVEL = 0.9
 #: Longer candidates are measured in pieces of so many characters.
 PIECE = 64
-#: Documents the dictionary is trained on, and their longest length.
-SAMPLE, SAMPLE_CHARS = 300, 20_000
-#: Rows these are picked from.
-POOL = 1500
 DICTIONARY_BYTES = 16_384
+#: Strings of so many bytes are counted in all texts, by hashes of so many bits.
+GRAM, GRAM_BITS = 8, 18
+#: Texts are cut into segments of so many bytes, and these dealt by content into groups of
+#: which the best one is learned from.
+SEGMENT, GROUPS = 64, 4096
+#: Longer texts are counted in blocks of so many bytes.
+BLOCK = 1 << 20
 
 _ASSIGN = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(ACCESS)
@@ -55,7 +60,6 @@ _HEX = re.compile(HEX)
 _SENSITIVE = re.compile("|".join(SENSITIVE), re.IGNORECASE | re.ASCII)
 _STRING = re.compile(r"[A-Za-z0-9+/_=-]+")
 _LONG_STRING = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_NOVEL)
-_IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{3,}")
 
 
 def base_spans(text: str, data: bytes, low: bytes) -> list[tuple[int, int, str]]:
@@ -133,48 +137,113 @@ def blanked(text: str, parts: set[str]) -> str:
     return "".join([*out, text[at:]])
 
 
-def without_secrets(texts: list[str]) -> list[str]:
-    """The texts without base spans, candidates and strings of letters and digits.
+def learnable(text: str) -> bytes:
+    """The text without assigned values and without any string long enough for a candidate.
 
-    A candidate goes from all texts, also where no sensitive word stands before it;
-    else a secret that several texts share would be learned and no longer be new.
+    Such strings go wherever they stand; else a secret that several texts share, some without
+    a sensitive word before it, would be learned and no longer be new.
     """
-    out, parts = [], set()
-    for text in texts:
-        data = text.encode("utf-8", "surrogatepass")
-        low = data.lower()
-        cut = [(s, e) for s, e, _ in base_spans(text, data, low)] + candidates(text, low)
-        cut += [m.span() for m in _LONG_STRING.finditer(text)
-                if any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0])]
-        for s, e in cut:
-            parts |= parts_of(text[s:e])
-        out.append(hidden(text, sorted((s, e, "") for s, e in cut), " "))
-    return [blanked(t, parts).replace("\0", "") for t in out]
+    data = text.encode("utf-8", "surrogatepass")
+    given = [s for s in base_spans(text, data, data.lower()) if s[2] == "assign"]
+    return _LONG_STRING.sub(" ", hidden(text, given, " ")).encode("utf-8", "surrogatepass")
+
+
+def slots(data: bytes) -> np.ndarray:
+    """The counter of each string of ``GRAM`` bytes, by its place."""
+    grams = np.frombuffer(data, np.uint8).astype(np.uint64)
+    for step in (1, 2, 4):
+        grams = grams[:-step] | grams[step:] << np.uint64(8 * step)
+    return (grams * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
+    for batch in batches:
+        for text in batch.column(0):
+            data = learnable(text.as_py())
+            yield from (data[i:i + BLOCK] for i in range(0, len(data), BLOCK))
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << GRAM_BITS, np.int64)
+    for data in _blocks(batches):
+        if len(data) >= GRAM:
+            counts[np.unique(slots(data))] += 1
+    found = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["slot", "n"])
+
+
+def _best(counts: np.ndarray):
+    """The segment of each group whose strings are the most frequent, and their sum."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple[int, bytes]] = {}
+        for data in _blocks(batches):
+            if len(data) < SEGMENT:
+                continue
+            sums = np.concatenate([[0], np.cumsum(counts[slots(data)])])
+            starts = np.arange(0, len(data) - SEGMENT + 1, SEGMENT)
+            scores = (sums[starts + SEGMENT - GRAM + 1] - sums[starts]).tolist()
+            for at, score in zip(starts.tolist(), scores):
+                segment = data[at:at + SEGMENT]
+                group = zlib.crc32(segment) % GROUPS
+                if group not in best or (score, segment) > best[group]:
+                    best[group] = score, segment
+        yield pa.RecordBatch.from_arrays([
+            pa.array(list(best), pa.int64()), pa.array([x for x, _ in best.values()], pa.int64()),
+            pa.array([x for _, x in best.values()], pa.binary())], names=["part", "score", "segment"])
+    return run
+
+
+def chosen(segments: list[bytes], counts: np.ndarray, n: int) -> list[bytes]:
+    """At most ``n`` segments by what each adds to those before it, the greatest first; a
+    string that is there already adds nothing."""
+    left = counts.copy()
+    queue = [(-int(left[slots(x)].sum()), x) for x in segments]
+    heapq.heapify(queue)
+    out = []
+    while queue and len(out) < n:
+        _, segment = heapq.heappop(queue)
+        places = np.unique(slots(segment))
+        adds = int(left[places].sum())
+        if queue and -adds > queue[0][0]:
+            if adds:
+                heapq.heappush(queue, (-adds, segment))
+            continue
+        left[places] = 0
+        out.append(segment)
+    return out
 
 
 def joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
 
-def train_dictionary(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE,
-                     longest: int = SAMPLE_CHARS) -> bytes:
-    """A dictionary of the texts and identifiers of at most ``sample`` documents, without secrets.
+def train_dictionary(docs: DataFrame, text_col: str = "text") -> bytes:
+    """A dictionary of what is frequent in all texts, without what could be a secret.
 
-    The choice depends on no order or partitioning; the driver receives at most
-    ``sample * longest`` characters.
+    In how many texts each short string stands is counted over all of them, by hashes. By
+    these counts all segments of all texts compete, those of equal content as one, and the
+    best of each group is learned from. The choice depends on no order or partitioning;
+    tasks and the driver hold the counters and a segment for each group, however many
+    texts there are.
     """
     import zstandard
-    few = without_secrets(some_texts(
-        docs.select(column(docs, text_col).cast("string").alias("text")), sample, POOL, longest))
-    names = Counter(n for text in few for n in set(_IDENTIFIER.findall(text)))
-    common = " ".join(n for n, _ in sorted(names.items(), key=lambda x: (-x[1], x[0]))[:2000])
-    pieces = [t[i:i + 1000].encode("utf-8", "surrogatepass") for t in few for i in range(0, len(t), 1000)]
-    pieces.append(common.encode("utf-8", "surrogatepass"))
+    texts = docs.select(column(docs, text_col).cast("string").alias("text")).where("text IS NOT NULL")
+    found = texts.mapInArrow(_count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << GRAM_BITS, np.int64)
+    counts[found["slot"].to_numpy()] = found["n"].to_numpy()
+    best = texts.mapInArrow(_best(counts), "part long, score long, segment binary").groupBy("part").agg(
+        F.max(F.struct("score", "segment")).alias("best")).collect()
+    pieces = sorted((bytes(r.best.segment) for r in best), key=lambda x: (zlib.crc32(x), x))
+    half = DICTIONARY_BYTES // 2
+    # the most useful last, where a dictionary is cheapest to refer to
+    frequent = b"".join(chosen(pieces, counts, half // SEGMENT)[::-1])
+    samples = [b"".join(pieces[i:i + 16]) for i in range(0, len(pieces), 16)]
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, pieces).as_bytes()
+        # what follows a trained dictionary is more content of it
+        return zstandard.train_dictionary(half, samples).as_bytes() + frequent
     except zstandard.ZstdError:
         # too few texts to train on: their bytes themselves
-        return b"".join(pieces)[-DICTIONARY_BYTES:]
+        return frequent
 
 
 _compressors: dict[bytes, object] = {}

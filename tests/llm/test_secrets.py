@@ -3,6 +3,7 @@ import hashlib
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from brookmart.llm import secrets
 
@@ -114,3 +115,17 @@ def test_longer_keys_are_found(docs):
         assert (at, at + len(key), "novel") in secrets.spans_of(text, primed)[1]
         path = "/".join(prose.split()[:size // 6])
         assert secrets.spans_of(f"{prose[:700]} private {path} {prose[700:]}", primed)[1] == []
+
+
+def test_every_text_is_learned_from(spark):
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(12000)]
+    rows = [" ".join(rng.choice(words[:2000], 60)) for _ in range(1000)]
+    # frequent in texts longer than any that a sample took
+    phrase = "the quick settlement of our quarterly ledger comes before all other business"
+    rows += [" ".join(rng.choice(words[2000:], 3000)) + " " + " ".join([phrase] * 3) for _ in range(60)]
+    frame = spark.createDataFrame([(x,) for x in rows], "text string")
+    learned = secrets.train_dictionary(frame)
+    assert b"quarterly ledger" in learned
+    # whatever the order and the partitions
+    assert secrets.train_dictionary(frame.orderBy(F.xxhash64("text")).repartition(3)) == learned
