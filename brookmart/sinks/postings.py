@@ -8,15 +8,16 @@ go when their bucket is merged. The number of documents and of words are sums ke
 same way. A batch that runs again changes nothing, at whatever step it failed before.
 
 A batch must hold a document once. A null or empty text is a document without words.
-Terms are words in lower case, of letters and digits; frequent ones are spread over
-files by Spark's rebalancing, and counted and scored row by row.
+Terms are words in lower case, of letters and digits, counted within a document's row;
+postings are written by the tasks that counted them, without a shuffle, and scored row by
+row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from brookmart.functions.text import words
 from brookmart.operators.keyed import last_per_key
@@ -43,6 +44,36 @@ def _summed(rows: DataFrame, more: Sequence[str] = ()) -> DataFrame:
     return rows.groupBy("part", *more).agg(F.sum("docs").alias("docs"), F.sum("words").alias("words"))
 
 
+def _counts(words: Column) -> Column:
+    """``(term, n)`` of each different word of an array, from its runs in order."""
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, i - 2)))
+        ends = F.concat(F.slice(starts, 2, F.size(s)), F.array(F.size(s) + 1))
+        return F.zip_with(starts, ends, lambda i, j: F.struct(
+            F.get(s, i - 1).alias("term"), (j - i).cast("bigint").alias("n")))
+
+    # an array of one array binds the sorted words, which are sorted once
+    return F.when(F.size(words) > 0, F.get(F.transform(F.array(F.array_sort(words)), runs), F.lit(0)))
+
+
+def _made(rows: DataFrame, former: DataFrame) -> DataFrame:
+    """``(term, doc, n, length)`` of documents ``(doc, w, length)`` that come once; the words
+    they had in ``former`` and have no more count 0. Words are counted in their row."""
+    now = rows.select("doc", "length", F.explode(_counts(F.col("w"))).alias("c")).select(
+        "c.term", "doc", "c.n", "length")
+    lost = rows.select("doc", F.array_distinct("w").alias("_now")).join(former.select("doc", "terms"), "doc").select(
+        "doc", F.explode(F.array_except("terms", "_now")).alias("term"))
+    zero = F.lit(0).cast("bigint").alias("n")
+    return now.unionByName(lost.select("term", "doc", zero, F.lit(None).cast("bigint").alias("length")))
+
+
+def _summed_up(rows: DataFrame, former: DataFrame) -> DataFrame:
+    """The same of documents that a batch holds several times, of which all words count."""
+    each = rows.select("doc", "length", F.explode("w").alias("term"), F.lit(1).alias("n")).unionByName(
+        former.select("doc", F.lit(None).cast("bigint").alias("length"), F.explode("terms").alias("term"), F.lit(0).alias("n")))
+    return each.groupBy("term", "doc").agg(F.sum("n").alias("n"), F.max("length").alias("length"))
+
+
 def add(docs: DataFrame, path: str, batch_id: int, key: str, text: str, n: int | None = None) -> bool:
     """Add or replace documents; False if the batch is there already."""
     found = F.filter(words(F.coalesce(F.col(text), F.lit(""))), lambda w: w != "")
@@ -50,19 +81,24 @@ def add(docs: DataFrame, path: str, batch_id: int, key: str, text: str, n: int |
         "length", F.size("w").cast("bigint"))
     known = buckets.lookup(rows, ["doc"], f"{path}/texts", TEXTS, ["doc"], before=batch_id)
     former = known.join(rows.select("doc"), "doc", "left_semi")
-    # a term of now counts 1 each time it occurs, one of before 0
-    each = rows.select("doc", "length", F.explode("w").alias("term"), F.lit(1).alias("n")).unionByName(
-        former.select("doc", F.lit(None).cast("bigint").alias("length"), F.explode("terms").alias("term"), F.lit(0).alias("n")))
-    made = each.groupBy("term", "doc").agg(F.sum("n").alias("n"), F.max("length").alias("length"))
+    again = rows.groupBy("doc").count().where("count > 1").select(F.col("doc").alias("_doc"))
+    if again.isEmpty():
+        made = _made(rows, former)
+    else:
+        def of(r: DataFrame, how: str) -> DataFrame:
+            return r.join(again, r["doc"].eqNullSafe(again["_doc"]), how)
+
+        made = _made(of(rows, "left_anti"), of(former, "left_anti")).unionByName(
+            _summed_up(of(rows, "left_semi"), of(former, "left_semi")))
     buckets.upsert(made.withColumn("seen", F.lit(batch_id).cast("bigint")).select(POSTINGS.names),
-                   f"{path}/postings", batch_id, ["term"], n, combine=_newest, fresh=F.col("n") > 0)
+                   f"{path}/postings", batch_id, ["term"], n, combine=_newest, fresh=F.col("n") > 0, spread=False)
     change = rows.select(F.lit(1).alias("docs"), F.col("length").alias("words")).unionByName(
         former.select(F.lit(-1).alias("docs"), (-F.col("length")).alias("words")))
     buckets.upsert(_summed(change.withColumn("part", F.lit(0).cast("bigint"))), f"{path}/totals", batch_id,
                    ["part"], 1, combine=_summed)
     # last: until it is there, a repeated batch finds the former words
     return buckets.upsert(rows.select("doc", F.array_distinct("w").alias("terms"), "length"),
-                          f"{path}/texts", batch_id, ["doc"], n)
+                          f"{path}/texts", batch_id, ["doc"], n, spread=False)
 
 
 def postings(spark: SparkSession, path: str, asked: Sequence[str]) -> DataFrame:

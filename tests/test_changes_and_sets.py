@@ -227,3 +227,17 @@ def test_a_search_reads_the_folders_of_its_words(spark):
     read = {int(f.split(f"/{buckets.BUCKET}=")[1].split("/")[0]) for f in postings.postings(spark, path, ["w5"]).inputFiles()}
     assert len(read) == 1
     assert "PushedFilters: [IsNotNull(term), EqualTo(term,w5)]" in plan(postings.postings(spark, path, ["w5"]))
+
+
+def test_words_are_counted_without_a_shuffle(spark):
+    rows = spark.createDataFrame([(1, ["b", "a", "b", "é", "a", "b"]), (2, []), (3, ["x"])], "doc bigint, w array<string>")
+    rows = rows.withColumn("length", F.size("w").cast("bigint"))
+    made = postings._made(rows, spark.createDataFrame([], postings.TEXTS))
+    assert "hashpartitioning(term" not in plan(made) and "Aggregate" not in plan(made)
+    assert sorted((r.doc, r.term, r.n, r.length) for r in made.collect()) == [
+        (1, "a", 2, 6), (1, "b", 3, 6), (1, "é", 1, 6), (3, "x", 1, 1)]
+    # a document that a batch holds twice counts with all its words, as before
+    path = work_dir(spark, "index")
+    postings.add(spark.createDataFrame([(1, "a b a"), (1, "a"), (None, "a"), (2, "b")], "id bigint, body string"), path, 0, "id", "body")
+    got = sorted((str(r.doc), r.n, r.length) for r in postings.postings(spark, path, ["a"]).collect())
+    assert got == [("1", 3, 3), ("None", 1, 1)]
