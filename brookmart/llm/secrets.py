@@ -164,10 +164,14 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << GRAM_BITS, np.int64)
+    counts, last = np.zeros(1 << GRAM_BITS, np.int64), np.zeros(1 << GRAM_BITS, np.int64)
     for data in _blocks(batches):
         if len(data) >= GRAM:
-            counts[np.unique(slots(data))] += 1
+            at = slots(data)
+            places = np.arange(len(at))
+            last[at] = places
+            # each counter once, by the last place it has in the text
+            counts[at[last[at] == places]] += 1
     found = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["slot", "n"])
 
