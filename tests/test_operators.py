@@ -276,6 +276,15 @@ def test_no_hot_keys_is_none(spark):
     assert hot.hot_keys(spark.createDataFrame(skewed_lines(), LINE), "order_id") is None
 
 
+@pytest.mark.parametrize("groups", [1, 4096])
+def test_hot_keys_share_groups_with_others(spark, monkeypatch, groups):
+    monkeypatch.setattr(hot, "GROUPS", groups)
+    monkeypatch.setattr(hot, "GROUPS_EACH", 0)
+    rows = spark.createDataFrame([(k,) for k in [1] * 7 + [None] * 8 + [2] * 3 + list(range(3, 60))], "k bigint")
+    assert sorted(map(tuple, hot.hot_keys(rows, "k", more_than=3).collect()), key=str) == [(1, 3), (None, 3)]
+    assert hot.hot_keys(rows, "k", more_than=8) is None
+
+
 def test_split_continues_from_earlier_batches(spark):
     lines = skewed_lines()
     by_id = sorted(lines, key=lambda r: r[1])

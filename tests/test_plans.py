@@ -54,6 +54,21 @@ def test_allocation_shuffles_each_side_once(spark, sf):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_sums_of_orders_are_taken_where_lines_are_numbered(spark, sf):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = shop.with_order_sum(shop.order_details(spark, sf))
+        rows = orderwide.order_wide(shop.orders(spark, sf), lines)
+        want = orderwide.order_wide(shop.with_original_amount(shop.orders(spark, sf), spark, sf),
+                                    shop.order_details(spark, sf))
+        assert plan(rows).count("Exchange hashpartitioning") == 2
+        what = ["order_id", "order_detail_id", "original_total_amount"]
+        assert rows.schema["original_total_amount"].dataType == want.schema["original_total_amount"].dataType
+        assert sorted(map(tuple, rows.select(what).collect())) == sorted(map(tuple, want.select(what).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_first_rows_combine_before_the_shuffle(spark, sf):
     for rows in (warehouse.first_seen(spark, sf), firstorder.first_orders(shop.orders(spark, sf)),
                  devices.new_devices(warehouse.start_records(spark, sf))):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from brookmart.operators import routing
 from brookmart.plans import serve, stream_queries
+from brookmart.plans.replay import Replay
 from brookmart.session import work_dir
 from brookmart.sinks import buckets, ledger, manifest, outbox, topics
 from brookmart.sources import streams
@@ -32,6 +33,18 @@ def at(text):
     return F.lit(text).cast("timestamp")
 
 
+def test_chunks_are_moved_not_written_again(spark):
+    rows = spark.createDataFrame([(i, i % 2) for i in range(20)], "id bigint, _chunk int")
+    source = Replay(spark, rows, "moved")
+    staged = manifest.files(spark, f"{source.stage}/_chunk=0")
+    source.feed(0)
+    assert sorted(n for _, n in manifest.files(spark, source.path) if n in {m for _, m in staged}) == sorted(n for _, n in staged)
+    assert not manifest.files(spark, f"{source.stage}/_chunk=0")
+    source.feed(1, times=2)
+    got = sorted(r.id for r in spark.read.schema(source.schema).parquet(source.path).collect())
+    assert got == sorted([*range(0, 20, 2), *range(1, 20, 2), *range(1, 20, 2)])
+
+
 # -- dedup and joins -------------------------------------------------------
 
 def test_copies_within_the_time_are_dropped(spark):
