@@ -16,7 +16,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-#: Entries of a worker's memory; beyond it starts anew.
+#: Entries of a worker's memory; beyond it keeps only what the texts at hand hold.
 MEMORY = 250_000
 #: Texts that are encoded at a time: a word they share is looked up once.
 TEXTS = 1000
@@ -24,8 +24,9 @@ TEXTS = 1000
 _ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]|<\\|")
 _IS_SPACE = np.isin(np.arange(256), [*b" \t\n\r\x0b\x0c"])
 
-#: Marks that end a run of letters are a token part of their own in both vocabularies.
-_MARKS = ".,;:!?"
+#: Marks that end a run of letters are a token part of their own in both vocabularies;
+#: an apostrophe may be part of a short form.
+_MARKS = re.escape("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
 
 #: Letters that are one class for both vocabularies' patterns, in any context.
 _LATIN = "".join(c for c in map(chr, range(0x130)) if c.isalpha())
@@ -109,10 +110,11 @@ class Encoder:
         known = self.known
         new = [r for r in runs if r not in known]
         if new:
+            learnt = self._learn(new)
             if len(known) + len(new) > MEMORY:
-                self._forget()
-                known, new = self.known, runs
-            self._remember(new, self._learn(new))
+                self._keep([r for r in runs if r in known])
+                known = self.known
+            self._remember(new, learnt)
         return np.fromiter(map(known.__getitem__, runs), np.int64, len(runs))
 
     def _forget(self) -> None:
@@ -120,6 +122,14 @@ class Encoder:
         self.known: dict[str, int] = {}
         self.starts, self.flat = np.zeros(1, np.int64), np.empty(0, self.dtype)
 
+    def _keep(self, runs: list[str]) -> None:
+        """Forget all but some of the known runs."""
+        slots = np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs))
+        flat, first, sizes = self.flat, self.starts[slots], self.starts[slots + 1] - self.starts[slots]
+        self.known = dict(zip(runs, range(len(runs))))
+        self.starts = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+        self.flat = flat[np.repeat(first - self.starts[:-1], sizes) + np.arange(self.starts[-1])]
+
     def _remember(self, runs: list[str], ids: list[list[int]]) -> None:
         self.known.update(zip(runs, range(len(self.known), len(self.known) + len(runs))))
         ends = self.starts[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))

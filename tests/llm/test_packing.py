@@ -2,9 +2,9 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from brookmart.llm import packing
+from brookmart.llm import packing, tokens
 from brookmart.llm.common import crc32_ids
-from brookmart.llm.tokens import encoder, vocabulary
+from brookmart.llm.tokens import Encoder, encoder, vocabulary
 
 PATH = vocabulary("byte_bpe_50k.json")
 
@@ -41,6 +41,26 @@ def test_pieces_and_places(docs, odd):
             assert crc32_ids(np.frombuffer(r.ids, "<u2")) == r.ids_crc32
 
 
+def test_a_full_memory_keeps_what_is_in_use(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMORY", 6)
+    for path, spaces in ((PATH, True), (vocabulary("word_bpe_49k.json"), False)):
+        one, learnt = Encoder(path, spaces), []
+        learn = one._learn
+        one._learn = lambda runs: (learnt.extend(runs), learn(runs))[1]
+        for text in ("in a one two", "in a three four", "in a five six seven", "in a one"):
+            assert [x.tolist() for x in one.encode([text])] == one._encode([text])
+        words = [r.strip() for r in learnt if r.strip()]
+        assert words.count("in") == words.count("a") == 1 and words.count("one") == 2
+
+
+def test_words_and_the_marks_after_them():
+    marks = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'"
+    texts = [f"word{a}{b} Été{a}{b}{a} x{b}y it's{a} don't{b} 's{a}" for a in marks for b in marks]
+    for path, spaces in ((PATH, True), (vocabulary("word_bpe_49k.json"), False)):
+        one = Encoder(path, spaces)
+        assert [x.tolist() for x in one.encode(texts)] == one._encode(texts)
+
+
 def test_nothing(none):
     assert packing.pack(none, PATH).count() == 0
 
