@@ -1,9 +1,9 @@
 """Token ids of whole texts with a given vocabulary file, encoded inside tasks.
 
-The two vocabularies split a text at white space before any merge, so each run of
-other characters is encoded once and remembered. Texts in which that does not hold
-for sure (white space beyond ASCII, strings that may be special tokens) are given
-to the tokenizer whole.
+The two vocabularies split a text at white space, and after letters that are followed
+by a mark, before any merge, so each run between such places is encoded once and
+remembered. Texts in which that does not hold for sure (white space beyond ASCII,
+strings that may be special tokens) are given to the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -11,26 +11,31 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Entries of a worker's memory; beyond it keeps only what the texts at hand hold.
 MEMORY = 250_000
 #: Texts that are encoded at a time: a word they share is looked up once.
 TEXTS = 1000
 
-_ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]|<\\|")
+_ODD = "[\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]|<\\|"
 _IS_SPACE = np.isin(np.arange(256), [*b" \t\n\r\x0b\x0c"])
 
 #: Marks that end a run of letters are a token part of their own in both vocabularies;
 #: an apostrophe may be part of a short form.
-_MARKS = re.escape("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
+_IS_MARK = np.isin(np.arange(256), [*b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"])
 
 #: Letters that are one class for both vocabularies' patterns, in any context.
 _LATIN = "".join(c for c in map(chr, range(0x130)) if c.isalpha())
-_WORD = re.compile(f"( ?[{_LATIN}]+)([{_MARKS}]*)")
+_WORD = re.compile(f" ?[{_LATIN}]+")
+#: Whether a letter ends at a byte, by the byte before it and itself.
+_IS_LETTER = np.zeros((256, 256), bool)
+for _c in map(str.encode, _LATIN):
+    _IS_LETTER[_c[0] if len(_c) > 1 else slice(None), _c[-1]] = True
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
@@ -83,48 +88,41 @@ class Encoder:
         return [[t.id for t in tokenize(unit)] for unit in units] if words else []
 
     def _learn(self, runs: list[str]) -> list[list[int]]:
-        """The ids of runs; a word and the marks after it are encoded apart."""
-        found, plain, parted, others, match = {}, [], [], [], _WORD.fullmatch
-        for run in runs:
-            if some := match(run):
-                word, mark = some.groups()
-                if mark:
-                    parted.append((run, word, mark))
-                else:
-                    plain.append(run)
-            elif self.spaces or not run.isspace():
-                others.append(run)
-            else:
-                found[run] = []
-        plain = list(dict.fromkeys([*plain, *(w for _, w, _ in parted)]))
-        others = list(dict.fromkeys([*others, *(m for _, _, m in parted)]))
-        found.update(zip(plain, self._words(plain)))
-        if others:
-            found.update(zip(others, self._encode(others)))
-        for run, word, mark in parted:
-            found[run] = found[word] + found[mark]
+        """The ids of runs."""
+        is_word = _WORD.fullmatch
+        words = [r for r in runs if is_word(r)]
+        if len(words) == len(runs):
+            return self._words(words)
+        found = dict(zip(words, self._words(words)))
+        others = [r for r in runs if r not in found]
+        if not self.spaces:
+            found.update((r, []) for r in others if r.isspace())
+            others = [r for r in others if r not in found]
+        found.update(zip(others, self._encode(others)))
         return list(map(found.__getitem__, runs))
 
     def _slots(self, runs: list[str]) -> np.ndarray:
-        """Where the ids of runs are remembered."""
-        known = self.known
-        new = [r for r in runs if r not in known]
-        if new:
-            learnt = self._learn(new)
-            if len(known) + len(new) > MEMORY:
-                self._keep([r for r in runs if r in known])
-                known = self.known
-            self._remember(new, learnt)
-        return np.fromiter(map(known.__getitem__, runs), np.int64, len(runs))
+        """Where the ids of runs, all different, are remembered."""
+        slots = np.fromiter(map(self.known.get, runs, repeat(-1)), np.int64, len(runs))
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            words = list(map(runs.__getitem__, new.tolist()))
+            learnt = self._learn(words)
+            if len(self.known) + len(new) > MEMORY:
+                old = np.flatnonzero(slots >= 0)
+                self._keep(list(map(runs.__getitem__, old.tolist())), slots[old])
+                slots[old] = np.arange(len(old))
+            slots[new] = np.arange(len(self.known), len(self.known) + len(new))
+            self._remember(words, learnt)
+        return slots
 
     def _forget(self) -> None:
         #: number of each known run; its ids are flat[starts[n]:starts[n + 1]]
         self.known: dict[str, int] = {}
         self.starts, self.flat = np.zeros(1, np.int64), np.empty(0, self.dtype)
 
-    def _keep(self, runs: list[str]) -> None:
+    def _keep(self, runs: list[str], slots: np.ndarray) -> None:
         """Forget all but some of the known runs."""
-        slots = np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs))
         flat, first, sizes = self.flat, self.starts[slots], self.starts[slots + 1] - self.starts[slots]
         self.known = dict(zip(runs, range(len(runs))))
         self.starts = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
@@ -139,19 +137,17 @@ class Encoder:
     def encode(self, texts: pa.StringArray | list[str | None]) -> list[np.ndarray]:
         """The ids of each text; a null text is empty."""
         texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts.cast(pa.string())
-        strings = texts.to_pylist()
-        odd = [i for i, t in enumerate(strings) if t and is_odd(t)]
-        if odd or texts.null_count:
-            plain = [t or "" for t in strings]
-            for i in odd:
-                plain[i] = ""
-            texts = pa.array(plain, pa.string())
+        whole = pc.fill_null(pc.match_substring_regex(texts, _ODD), False)
+        odd = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        strings = texts.take(odd).to_pylist()
+        if len(odd) or texts.null_count:
+            texts = pc.fill_null(pc.if_else(whole, "", texts), "")
         offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
         data = texts.buffers()[2]
         raw = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data else np.empty(0, np.uint8)
         ends = (offsets - offsets[0]).astype(np.int64)
         edges = cuts(raw, ends, self.spaces)
-        out = [np.empty(0, self.dtype)] * len(strings)
+        out = [np.empty(0, self.dtype)] * len(texts)
         if len(raw):
             runs = pa.StringArray.from_buffers(
                 len(edges), pa.py_buffer(np.append(edges, len(raw)).astype(np.int32)), pa.py_buffer(raw.tobytes()))
@@ -162,34 +158,30 @@ class Encoder:
             ids = self.flat[np.repeat(first - after[:-1], sizes) + np.arange(after[-1])]
             at = after[np.searchsorted(edges, ends)]
             out = [ids[a:b] for a, b in zip(at.tolist(), at[1:].tolist())]
-        if odd:
-            for i, found in zip(odd, self._encode([strings[i] for i in odd])):
-                out[i] = np.array(found, self.dtype)
+        for i, found in zip(odd, self._encode(strings)):
+            out[i] = np.array(found, self.dtype)
         return out
 
 
-def is_odd(text: str) -> bool:
-    if text.isascii():
-        return "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f")
-    return _ODD.search(text) is not None
-
-
 def cuts(raw: np.ndarray, ends: np.ndarray, spaces: bool) -> np.ndarray:
     """Where the runs of some texts begin; ``ends`` holds where texts begin and end.
 
     Runs of white space and of other characters take turns. With ``spaces``, what
     comes before a word is cut once more before its last character, which belongs to
-    the word if it is a space.
+    the word if it is a space. Marks after a letter begin a run.
     """
     white = _IS_SPACE[raw]
     new = np.zeros(len(raw) + 1, bool)
     new[1:-1] = white[1:] != white[:-1]
     texts = ends[:-1][np.diff(ends) > 0]
     if spaces:
-        words = np.flatnonzero(new[:-1] & ~white)
-        words = words[~np.isin(words, texts, assume_unique=True)]
+        begins = np.zeros(len(raw), bool)
+        begins[texts] = True
+        words = np.flatnonzero(new[:-1] & ~white & ~begins)
         words = words[white[words - 1]]
         new[words - 1] = True
         new[words[raw[words - 1] == 32]] = False
+    marks = np.flatnonzero(_IS_MARK[raw[1:]]) + 1
+    new[marks[_IS_LETTER[raw[marks - 2], raw[marks - 1]]]] = True
     new[texts] = True
     return np.flatnonzero(new[:-1])

@@ -61,6 +61,24 @@ def test_words_and_the_marks_after_them():
         assert [x.tolist() for x in one.encode(texts)] == one._encode(texts)
 
 
+def test_marks_are_cut_off_before_words_are_remembered():
+    marks = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+    words = ["word", "Été", "straße", "ñ", "ª", "Āį"]
+    texts = [f"a {w}{m}" for w in words for m in marks] + [f"a {w}" for w in words]
+    for path, spaces in ((PATH, True), (vocabulary("word_bpe_49k.json"), False)):
+        one = Encoder(path, spaces)
+        assert [x.tolist() for x in one.encode(texts)] == one._encode(texts)
+        assert {r.strip() for r in one.known if r.strip()} == {"a", *words, *marks}
+
+
+def test_a_mark_is_cut_off_after_latin_letters_only():
+    # the bytes before these marks end letters, or look like parts of them
+    texts = [f"{c}{d}" for c in "é×÷…–½²٣中жſΣ̸́9\u2019" for d in (".", ".x", "≠", "='s", "..")] + [".", "é", None, ". é", "é.x"]
+    for path, spaces in ((PATH, True), (vocabulary("word_bpe_49k.json"), False)):
+        one = Encoder(path, spaces)
+        assert [x.tolist() for x in one.encode(texts)] == one._encode([t or "" for t in texts])
+
+
 def test_nothing(none):
     assert packing.pack(none, PATH).count() == 0
 
