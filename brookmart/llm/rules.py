@@ -127,6 +127,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def faults(kind: str) -> Column:
         return F.size(F.filter("__judged", lambda x: x["fault"] == kind)).cast("bigint")
     df = df.withColumn("lost_chars", failing)
+    # a filter on computed columns would be pushed below them, with all their
+    # expressions repeated in it; it stays above a column that has no fixed value
+    df = df.withColumn("__row", F.monotonically_increasing_id()).filter("__row >= 0")
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return df.select(
