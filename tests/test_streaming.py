@@ -422,3 +422,64 @@ def test_state_lies_in_as_many_parts_as_cores(spark, tmp_path):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("cores, parts", [(1, 8), (3, 9), (4, 8), (6, 12), (8, 8), (12, 12), (40, 40), (90, 64)])
+def test_no_core_waits_for_the_last_parts_of_state(cores, parts):
+    """Eight parts on six cores take as long as twelve."""
+    from types import SimpleNamespace as Fake
+
+    from brookmart.streaming import run
+
+    settings = {"spark.sql.shuffle.partitions": "64"}
+    assert run.state_parts(Fake(conf=settings, sparkContext=Fake(defaultParallelism=cores))) == parts
+
+
+def test_pairs_in_state_of_a_cluster(spark):
+    """With a cluster's settings the join gives the same; rows are not counted, for which
+    every write would read first."""
+    from brookmart.session import CLUSTER_SETTINGS
+
+    orders = Feed(spark, "order_id int, order_ts string")
+    lines = Feed(spark, "order_id int, order_detail_id int, detail_ts string")
+    out, checkpoint = work_dir(spark, "out"), work_dir(spark, "ck")
+    before, counted = {k: spark.conf.get(k, None) for k in CLUSTER_SETTINGS}, []
+    try:
+        for k, v in CLUSTER_SETTINGS.items():
+            spark.conf.set(k, v)
+        for o, d in (([(1, "12:00:00"), (2, "12:00:30")], [(1, 10, "12:00:20")]),
+                     ([(3, "12:01:00")], [(1, 11, "12:00:50"), (2, 12, "12:01:21"), (2, 13, "12:01:20"), (3, 14, "12:00:10")])):
+            orders.add(*[(i, f"2024-01-01 {at}") for i, at in o])
+            lines.add(*[(i, n, f"2024-01-01 {at}") for i, n, at in d])
+            pairs = jobs.interval_join(
+                jobs.distinct_stream(orders.stream().withColumn("order_ts", F.to_timestamp("order_ts")), ["order_id"], "order_ts"),
+                jobs.distinct_stream(lines.stream().withColumn("detail_ts", F.to_timestamp("detail_ts")), ["order_detail_id"], "detail_ts"),
+                late=None)
+            query = drain(pairs, jobs.append_to(out), checkpoint)
+            counted += [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sorted(r.order_detail_id for r in spark.read.parquet(out).collect()) == [10, 11, 13, 14]
+    assert not any(counted)
+
+
+def test_kept_rows_lie_in_few_parts(spark):
+    """What a handler keeps is not in as many parts as its shuffles, and reads column by column."""
+    feed = Feed(spark, "id int, n int, at string")
+    feed.add(*[(i, i % 3, f"2024-01-01 00:00:{i % 60:02}") for i in range(500)], (1, 9, "2024-01-01 00:00:00"))
+    before, seen, got = spark.conf.get("spark.sql.shuffle.partitions"), [], []
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+
+    def then(rows, batch_id):
+        got.extend(rows.collect())
+        seen.append((rows.rdd.getNumPartitions(), [f.dataType.typeName() for f in rows.schema]))
+
+    try:
+        drain(feed.stream().withColumn("at", F.to_timestamp("at")),
+              jobs.distinct_handler(work_dir(spark, "seen"), ["id"], "at", then), work_dir(spark, "ck"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0][0] < 16 and seen[0][1] == ["integer", "integer", "timestamp"]
+    assert sorted((r.id, r.n, r["at"].second) for r in got) == sorted(
+        [(i, i % 3, i % 60) for i in range(500) if i != 1] + [(1, 9, 0)])
